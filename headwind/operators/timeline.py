@@ -84,10 +84,6 @@ def greatest_before(
         inside.filter("__asked")
         .join(handed, [_KEY, _SLICE])
         .select(_KEY, _AT, F.greatest("__inside", "__handed").alias(out))
-        if _is_atomic(facts)
-        else inside.filter("__asked")
-        .join(handed, [_KEY, _SLICE])
-        .select(_KEY, _AT, F.coalesce("__inside", "__handed").alias(out))
     )
     return (
         left.withColumn(_KEY, left_key)
@@ -97,10 +93,6 @@ def greatest_before(
     )
 
 
-def _is_atomic(facts: DataFrame) -> bool:
-    return not hasattr(facts.schema["__fact"].dataType, "fields")
-
-
 def asof_backward(
     left: DataFrame,
     right: DataFrame,

@@ -1,0 +1,247 @@
+"""The whole dataflow as plain jobs: `refresh` after new files, `build_training_set`, `train`."""
+
+from __future__ import annotations
+
+import uuid
+from dataclasses import dataclass
+from datetime import date, timedelta
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from headwind.functions.columns import mode_of
+from headwind.operators.clean import alert_history
+from headwind.operators.evaluate import Split, error_metrics, result_rows, time_split
+from headwind.operators.features import live_examples, training_examples
+from headwind.operators.labels import hourly_delay, last_prediction_label
+from headwind.operators.models import (
+    BASELINES,
+    fill_features,
+    predict_delay,
+    scorable,
+    select_model,
+    test_prediction_rows,
+)
+from headwind.operators.schedule import newest_version, of_version, schedule_of
+from headwind.operators.scoring import (
+    between_days,
+    live_vehicles,
+    monitoring,
+    predictions_long,
+    since_days,
+)
+from headwind.settings import DEFAULTS, Settings
+from headwind.sources.sinks import Lake, day_bounds
+from headwind.sources.versioned_csv import read_versioned
+from headwind.streaming.jobs import (
+    burst,
+    ingest_feed,
+    silver_positions,
+    silver_stop_updates,
+    stream_folder,
+)
+
+FEEDS = ("trip_updates", "vehicle_positions", "alerts")
+
+
+def load_schedule(spark: SparkSession, lake: Lake, static_root: str, settings: Settings) -> None:
+    """Newest schedule version to the silver tables routes, stops and scheduled_stops."""
+    version = newest_version(read_versioned(spark, static_root, "feed_info"))
+
+    def newest(file: str) -> DataFrame:
+        return of_version(read_versioned(spark, static_root, file), version)
+
+    routes = newest("routes")
+    rail = mode_of(F.col("route_type").try_cast("int"), settings.rail_route_types)
+    lake.overwrite(routes.withColumn("mode", rail), "silver", "routes")
+    stops = newest("stops").withColumns(
+        {c: F.col(c).try_cast("double") for c in ("stop_lat", "stop_lon")}
+    )
+    lake.overwrite(stops, "silver", "stops")
+    plan = schedule_of(
+        newest("stop_times").drop("gtfs_version"),
+        newest("trips").drop("gtfs_version"),
+        routes.drop("gtfs_version"),
+        settings,
+    )
+    lake.overwrite(plan, "silver", "scheduled_stops")
+
+
+def refresh(
+    spark: SparkSession,
+    lake: Lake,
+    raw_root: str,
+    static_root: str,
+    settings: Settings = DEFAULTS,
+    day: str | None = None,
+) -> None:
+    """Ingest new snapshots, extend silver, relabel the service dates they touch, rebuild reports."""
+    for feed in FEEDS:
+        ingest_feed(
+            spark, raw_root, feed, lake.path("bronze", feed), lake.checkpoint(f"bronze_{feed}"), day
+        )
+    load_schedule(spark, lake, static_root, settings)
+    updates = silver_stop_updates(
+        stream_folder(spark, lake.path("bronze", "trip_updates")),
+        lake.read(spark, "silver", "scheduled_stops"),
+        settings,
+    )
+    burst(
+        updates,
+        lake.path("silver", "stop_updates"),
+        lake.checkpoint("silver_stop_updates"),
+        ["service_date"],
+    )
+    burst(
+        silver_positions(stream_folder(spark, lake.path("bronze", "vehicle_positions")), settings),
+        lake.path("silver", "positions"),
+        lake.checkpoint("silver_positions"),
+    )
+    lake.overwrite(alert_history(lake.read(spark, "bronze", "alerts")), "silver", "alerts")
+    relabel(spark, lake, settings)
+
+
+def relabel(
+    spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS, since: date | None = None
+) -> None:
+    """Labels and hourly report of the service dates that gained updates after `since` was ingested.
+
+    Labels change only for dates with new updates, so only those dates are recomputed. Without
+    `since`, everything is.
+    """
+    updates = lake.read(spark, "silver", "stop_updates")
+    touched = updates if since is None else updates.where(F.col("ingest_ts") >= F.lit(since))
+    first, last = day_bounds(touched)
+    if first is None:
+        return
+    outcomes = last_prediction_label(between_days(updates, first, last), settings=settings)
+    lake.replace_days(outcomes, "gold", "stop_arrivals", first, last)
+    fresh = between_days(lake.read(spark, "gold", "stop_arrivals"), first, last)
+    lake.replace_days(hourly_delay(fresh, settings), "gold", "route_delay_hourly", first, last)
+
+
+def build_training_set(
+    spark: SparkSession, lake: Lake, first: str = "", last: str = "", settings: Settings = DEFAULTS
+) -> tuple[date, date]:
+    """Examples of a range of dates, read with the days of history they need, replaced by date."""
+    outcomes = lake.read(spark, "gold", "stop_arrivals")
+    start, end = day_bounds(outcomes, first, last)
+    examples = training_examples(
+        between_days(outcomes, start - timedelta(days=settings.history_days), end),
+        between_days(lake.read(spark, "silver", "stop_updates"), start, end),
+        lake.read(spark, "silver", "scheduled_stops"),
+        lake.read(spark, "silver", "alerts"),
+        settings,
+    )
+    lake.replace_days(examples, "gold", "training_set", start, end)
+    return start, end
+
+
+@dataclass(frozen=True)
+class TrainingRun:
+    run_id: str
+    split: Split
+    best: str | None
+    champion: bool
+
+
+def train(
+    spark: SparkSession,
+    lake: Lake,
+    first: str = "",
+    last: str = "",
+    settings: Settings = DEFAULTS,
+    pipelines=None,
+) -> TrainingRun:
+    """Baselines and candidates on a time split; results appended, best test predictions kept.
+
+    Only a run on full data makes its model the champion.
+    """
+    table = lake.read(spark, "gold", "training_set")
+    start, end = day_bounds(table, first, last)
+    data = fill_features(between_days(table, start, end), settings)
+    fit_on, test, split = time_split(data, start, end, settings)
+    run_id = uuid.uuid4().hex
+    chosen = select_model(fit_on, test, pipelines)
+    lake.append(result_rows(chosen.metrics, run_id, split), "gold", "model_results")
+    if chosen.model is None:
+        return TrainingRun(run_id, split, None, False)
+    lake.overwrite(test_prediction_rows(chosen.scored, run_id), "gold", "test_predictions")
+    champion = register_model(spark, lake, chosen.model, chosen.name, run_id, split)
+    return TrainingRun(run_id, split, chosen.name, champion)
+
+
+def register_model(
+    spark: SparkSession, lake: Lake, model: PipelineModel, name: str, run_id: str, split: Split
+) -> bool:
+    """Save the model under its run and note it in the registry table."""
+    path = lake.path("models", run_id)
+    model.write().overwrite().save(path)
+    entry = spark.range(1).select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(name).alias("model"),
+        F.lit(path).alias("path"),
+        F.lit(split.status).alias("data_status"),
+        F.lit(not split.preliminary).alias("is_champion"),
+        F.current_timestamp().alias("registered_at"),
+    )
+    lake.append(entry, "models", "registry")
+    return not split.preliminary
+
+
+def load_champion(spark: SparkSession, lake: Lake) -> tuple[PipelineModel | None, str | None]:
+    """The newest champion and its run, or nothing if no full-data run has been registered."""
+    if not lake.exists(spark, "models", "registry"):
+        return None, None
+    row = (
+        lake.read(spark, "models", "registry")
+        .where("is_champion")
+        .orderBy(F.desc("registered_at"), F.desc("run_id"))
+        .select("path", "run_id")
+        .first()
+    )
+    return (PipelineModel.load(row["path"]), row["run_id"]) if row else (None, None)
+
+
+def score(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS) -> date | None:
+    """Score active trips as of the newest snapshot, monitor past predictions, refresh live table."""
+    everything = lake.read(spark, "silver", "stop_updates")
+    now = everything.agg(F.max("feed_ts").alias("now")).first()["now"]
+    if now is None:
+        return None
+    now_ts, today = F.lit(now), F.to_date(F.lit(now))
+    updates = since_days(everything, "service_date", today, 1)
+    outcomes = lake.read(spark, "gold", "stop_arrivals")
+    examples = live_examples(
+        since_days(outcomes, "service_date", today, settings.history_days + 1),
+        updates,
+        lake.read(spark, "silver", "scheduled_stops"),
+        lake.read(spark, "silver", "alerts"),
+        now_ts,
+        settings,
+    )
+    model, version = load_champion(spark, lake)
+    if model is not None:
+        examples = predict_delay(model, scorable(fill_features(examples, settings)), "model_pred_s")
+    lake.append(predictions_long(examples, now_ts, version), "gold", "delay_predictions")
+    # outcomes of the whole monitoring range: with fewer, older days would vanish from the table
+    days = settings.monitoring_days
+    watched = monitoring(
+        since_days(lake.read(spark, "gold", "delay_predictions"), "service_date", today, days),
+        since_days(outcomes, "service_date", today, days),
+    )
+    lake.overwrite(watched, "gold", "prediction_monitoring")
+    live = live_vehicles(
+        since_days(lake.read(spark, "silver", "positions"), "vehicle_ts", today, 1),
+        updates,
+        lake.read(spark, "silver", "routes"),
+        now_ts,
+        settings,
+    )
+    lake.overwrite(live, "gold", "live_vehicles")
+    return now
+
+
+def baseline_results(test: DataFrame, run_id: str, split: Split) -> DataFrame:
+    return result_rows(error_metrics(test, BASELINES), run_id, split)
