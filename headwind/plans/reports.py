@@ -173,9 +173,9 @@ def delay_growth(outcomes: DataFrame) -> DataFrame:
 
 def latest_results(results: DataFrame) -> DataFrame:
     """Rows of the newest run: one run writes all its rows with one time."""
-    newest = results.agg(F.max("processed_ts").alias("t"))
+    newest = results.agg(F.max("processed_ts")).scalar()
     return (
-        results.join(F.broadcast(newest), F.col("processed_ts") == F.col("t"))
+        results.where(F.col("processed_ts") == newest)
         .select(
             "data_status",
             "data_start",

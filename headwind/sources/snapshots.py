@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headwind.sources import feedspec
-from headwind.sources.records import RECORDS
+from headwind.sources.records import record_schema
 
 FILE_COLUMNS = "path string, modificationTime timestamp, length long, content binary"
 ENTITIES_PER_BATCH = 2000
@@ -207,7 +207,7 @@ def _decoder(schema: T.StructType, part: str):
 def typed_records(entities: DataFrame, feed: str, schema: T.StructType | None = None) -> DataFrame:
     """Project entities to the declared columns, each cast to its declared type."""
     expressions = {"feed_timestamp": F.col("header_s"), **_records_from(feed)}
-    schema = schema or RECORDS[feed]
+    schema = schema or record_schema(feed)
     return entities.select(
         *[expressions[f.name].cast(f.dataType).alias(f.name) for f in schema.fields], "source_file"
     )
