@@ -33,10 +33,14 @@ def greatest_before(
     strict: bool,
     slice_s: int = DEFAULTS.slice_s,
     null_keys_match: bool = False,
+    asked: DataFrame | None = None,
 ) -> DataFrame:
     """Add `out`: max payload over the right rows of the same key with time < (<=) `left_time`.
 
     `by` lists (left column, right column) pairs. Every left row is kept exactly once.
+
+    `asked` may give the keys and times of `left` from a cheaper source, such as the table `left`
+    was derived from. Without it `left` is computed twice, and a chain of calls doubles each time.
     """
     left_key = F.struct(*[F.col(a).alias(f"k{i}") for i, (a, _) in enumerate(by)])
     right_key = F.struct(*[F.col(b).alias(f"k{i}") for i, (_, b) in enumerate(by)])
@@ -51,7 +55,8 @@ def greatest_before(
         payload.alias("__fact"),
         F.lit(False).alias("__asked"),
     )
-    asks = left.filter(F.col(left_time).isNotNull()).select(
+    asked = left if asked is None else asked
+    asks = asked.filter(F.col(left_time).isNotNull()).select(
         left_key.alias(_KEY),
         F.col(left_time).alias(_AT),
         F.lit(None).cast(facts.schema["__fact"].dataType).alias("__fact"),
@@ -104,6 +109,7 @@ def asof_backward(
     age_out: str | None = None,
     slice_s: int = DEFAULTS.slice_s,
     null_keys_match: bool = False,
+    asked: DataFrame | None = None,
 ) -> DataFrame:
     """Attach the latest right row before (`strict`) or at-or-before `left_time`.
 
@@ -124,6 +130,7 @@ def asof_backward(
         strict,
         slice_s,
         null_keys_match,
+        asked,
     )
     columns = [F.col(f"__latest.{o}").alias(o) for o in values.values()]
     if age_out:
@@ -141,6 +148,7 @@ def inside_any_interval(
     end: str,
     out: str,
     slice_s: int = DEFAULTS.slice_s,
+    asked: DataFrame | None = None,
 ) -> DataFrame:
     """Flag 1/0: does some closed interval `[start, end]` of the same key contain `at`?
 
@@ -148,7 +156,7 @@ def inside_any_interval(
     before `at`. Hence one row in, one row out, whatever the number of overlapping intervals.
     """
     joined = greatest_before(
-        left, intervals, by, at, start, F.col(end), "__open_until", False, slice_s
+        left, intervals, by, at, start, F.col(end), "__open_until", False, slice_s, asked=asked
     )
     live = F.coalesce(F.col("__open_until") >= F.col(at), F.lit(False))
     return joined.withColumn(out, live.cast("int")).drop("__open_until")

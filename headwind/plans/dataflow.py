@@ -31,6 +31,7 @@ from headwind.operators.scoring import (
     predictions_long,
     since_days,
 )
+from headwind.session import materialize
 from headwind.settings import DEFAULTS, Settings
 from headwind.sources.sinks import Lake, day_bounds
 from headwind.sources.versioned_csv import read_versioned
@@ -102,17 +103,25 @@ def refresh(
     relabel(spark, lake, settings)
 
 
-def relabel(
-    spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS, since: date | None = None
-) -> None:
-    """Labels and hourly report of the service dates that gained updates after `since` was ingested.
+def relabel(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS) -> None:
+    """Recompute labels and the hourly report for the service dates that gained updates.
 
-    Labels change only for dates with new updates, so only those dates are recomputed. Without
-    `since`, everything is.
+    Labels of a date change only while updates for it arrive. A date is due if its newest update
+    was ingested after its labels were made, or if it has none, so a job that failed half-way is
+    made up for by the next one. Updates without a service date cannot be placed and get no label.
     """
     updates = lake.read(spark, "silver", "stop_updates")
-    touched = updates if since is None else updates.where(F.col("ingest_ts") >= F.lit(since))
-    first, last = day_bounds(touched)
+    due = updates.groupBy("service_date").agg(F.max("ingest_ts").alias("newest"))
+    if lake.exists(spark, "gold", "stop_arrivals"):
+        labelled = (
+            lake.read(spark, "gold", "stop_arrivals")
+            .groupBy("service_date")
+            .agg(F.min("processed_ts").alias("made"))
+        )
+        due = due.join(labelled, "service_date", "left").where(
+            F.isnull("made") | (F.col("newest") > F.col("made"))
+        )
+    first, last = day_bounds(due)
     if first is None:
         return
     outcomes = last_prediction_label(between_days(updates, first, last), settings=settings)
@@ -133,6 +142,7 @@ def build_training_set(
         lake.read(spark, "silver", "scheduled_stops"),
         lake.read(spark, "silver", "alerts"),
         settings,
+        stage=materialize,
     )
     lake.replace_days(examples, "gold", "training_set", start, end)
     return start, end
@@ -220,6 +230,7 @@ def score(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS) -> dat
         lake.read(spark, "silver", "alerts"),
         now_ts,
         settings,
+        stage=materialize,
     )
     model, version = load_champion(spark, lake)
     if model is not None:

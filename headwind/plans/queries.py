@@ -37,11 +37,20 @@ Query = Callable[[Views], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+# queries that read the derived outcomes or pairs more than twice
+STAGED: set[str] = set()
+
+
 def query(f: Query) -> Query:
     QUERIES[f.__name__] = f
     return f
 
 
+def staged(f: Query) -> Query:
+    STAGED.add(f.__name__)
+    return query(f)
+
+
 def r6(c: Column | str, name: str | None = None) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6).alias(name or c)
 
@@ -179,7 +188,7 @@ def recent_rows(v: Views) -> DataFrame:
     return kept.select("event_id", "service_date")
 
 
-@query
+@staged
 def fill_features(v: Views) -> DataFrame:
     filled = models.fill_features(v.examples, SETTINGS)
     whole = ("delay_trend_s", "stops_remaining", "hist_n", "has_hist", "ahead_delay_s",
@@ -191,7 +200,7 @@ def _predictions(v: Views) -> DataFrame:
     return scoring.predictions_long(v.forecast_pairs, v.now)
 
 
-@query
+@staged
 def predictions_long(v: Views) -> DataFrame:
     return _predictions(v).select(
         *_example_key(), "predictor", r6("predicted_delay_s"), seconds("predicted_arrival_ts"),
@@ -204,7 +213,7 @@ def safe_name(v: Views) -> DataFrame:
     return v.table("pages").select("page_id", columns.folder_name(F.col("url")).alias("name"))
 
 
-@query
+@staged
 def metrics_flat(v: Views) -> DataFrame:
     return evaluate.metric_keys(_metrics(v)).select("predictor", "key", r6("value"))
 
@@ -282,7 +291,7 @@ def stops_remaining(v: Views) -> DataFrame:
     )
 
 
-@query
+@staged
 def history_range_join(v: Views) -> DataFrame:
     timed = features.with_time(v.pairs, SETTINGS)
     return features.with_history(timed, v.trend, SETTINGS).select(
@@ -290,21 +299,21 @@ def history_range_join(v: Views) -> DataFrame:
     )
 
 
-@query
+@staged
 def asof_strict(v: Views) -> DataFrame:
     return features.with_vehicle_ahead(v.pairs, v.trend, SETTINGS).select(
         *_example_key(), "ahead_delay_s", "ahead_age_s"
     )
 
 
-@query
+@staged
 def asof_inclusive(v: Views) -> DataFrame:
     return features.with_provider_forecast(v.pairs, v.upd, SETTINGS).select(
         *_example_key(), "provider_pred_s"
     )
 
 
-@query
+@staged
 def interval_flag(v: Views) -> DataFrame:
     return features.with_alert_flag(v.pairs, v.alerts, SETTINGS).select(
         *_example_key(), bigint("alert_active")
@@ -362,7 +371,7 @@ def _metrics(v: Views) -> DataFrame:
     return evaluate.error_metrics(v.forecast_pairs, models.BASELINES)
 
 
-@query
+@staged
 def error_metrics(v: Views) -> DataFrame:
     return _metrics(v).select(
         "predictor", "mode", bigint("horizon"), "n", r6("mae_s"), r6("rmse_s")
@@ -373,7 +382,7 @@ def _monitored(v: Views) -> DataFrame:
     return scoring.monitoring(_predictions(v), v.arr)
 
 
-@query
+@staged
 def monitoring_daily(v: Views) -> DataFrame:
     return _monitored(v).select(
         "service_date", "predictor", "model_version", "mode", bigint("horizon"), "n",
@@ -471,16 +480,18 @@ WHOLE = ("current_delay_s", "delay_trend_s", "stops_remaining", "scheduled_gap_s
          "alert_active", "provider_pred_s", "persistence_pred_s")
 
 
-@query
+@staged
 def training_set(v: Views) -> DataFrame:
     return v.examples.select(
         *_example_key(), "target_delay_s", r6("hist_avg_delay_s"), *[bigint(c) for c in WHOLE]
     )
 
 
-@query
+@staged
 def live_examples(v: Views) -> DataFrame:
-    live = features.live_examples(v.arr, v.upd, v.sched, v.alerts, v.now, SETTINGS)
+    live = features.live_examples(
+        v.arr, v.upd, v.sched, v.alerts, v.now, SETTINGS, stage=materialize
+    )
     return live.select(*_example_key(), r6("hist_avg_delay_s"), *[bigint(c) for c in WHOLE])
 
 
@@ -490,7 +501,7 @@ def _split(v: Views):
     return evaluate.time_split(data, first, last, SETTINGS)
 
 
-@query
+@staged
 def time_split(v: Views) -> DataFrame:
     first, last = sinks.day_bounds(v.pairs)
     train, test, split = evaluate.time_split(v.pairs, first, last, SETTINGS)
@@ -502,7 +513,7 @@ def time_split(v: Views) -> DataFrame:
     ).withColumns({"reason": F.lit(split.reason), "preliminary": F.lit(split.preliminary)})
 
 
-@query
+@staged
 def feature_vector(v: Views) -> DataFrame:
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
@@ -518,12 +529,12 @@ def _fitted(v: Views, pipeline) -> DataFrame:
     return scored.select(*_example_key(), r6("model_pred_s"), "target_delay_s")
 
 
-@query
+@staged
 def train_linear(v: Views) -> DataFrame:
     return _fitted(v, models.linear_pipeline())
 
 
-@query
+@staged
 def train_gbt(v: Views) -> DataFrame:
     return _fitted(v, models.tree_pipeline(max_depth=4, max_iter=10))
 
@@ -532,14 +543,14 @@ def _few() -> dict:
     return models.candidates(max_iter=5)
 
 
-@query
+@staged
 def model_selection(v: Views) -> DataFrame:
     train, test, split = _split(v)
     chosen = models.select_model(train, test, _few())
     return evaluate.result_rows(chosen.metrics, chosen.name or "baselines", split).drop("processed_ts")
 
 
-@query
+@staged
 def test_predictions(v: Views) -> DataFrame:
     train, test, _ = _split(v)
     chosen = models.select_model(train, test, _few())
@@ -548,7 +559,7 @@ def test_predictions(v: Views) -> DataFrame:
     return lake.read(v.spark, "gold", "test_predictions")
 
 
-@query
+@staged
 def champion_gate(v: Views) -> DataFrame:
     """A run on few days must not become champion, a full one must."""
     lake = sinks.Lake(new_folder(v.spark, "champions"))
@@ -581,19 +592,19 @@ def rpt_worst_now(v: Views) -> DataFrame:
     return reports.worst_now(_vehicles(v), at_least=2)
 
 
-@query
+@staged
 def rpt_pred_vs_actual(v: Views) -> DataFrame:
     return reports.prediction_vs_actual(_predictions(v), v.arr, F.to_date(v.now), days=2).withColumn(
         "horizon", F.col("horizon").cast("long")
     )
 
 
-@query
+@staged
 def rpt_error_daily(v: Views) -> DataFrame:
     return reports.error_daily(_monitored(v))
 
 
-@query
+@staged
 def rpt_error_horizon(v: Views) -> DataFrame:
     return reports.error_horizon(_monitored(v)).withColumn("horizon", F.col("horizon").cast("long"))
 
@@ -645,17 +656,17 @@ def _results(v: Views) -> DataFrame:
     return runs[0].unionByName(runs[1])
 
 
-@query
+@staged
 def rpt_latest_results(v: Views) -> DataFrame:
     return reports.latest_results(_results(v)).withColumn("horizon", F.col("horizon").cast("long"))
 
 
-@query
+@staged
 def rpt_model_gain(v: Views) -> DataFrame:
     return reports.model_gain(v.tested).withColumn("horizon", F.col("horizon").cast("long"))
 
 
-@query
+@staged
 def rpt_losing_slices(v: Views) -> DataFrame:
     out = reports.losing_slices(v.tested, at_least=20)
     return out.withColumns(
@@ -667,13 +678,13 @@ def rpt_losing_slices(v: Views) -> DataFrame:
     )
 
 
-@query
+@staged
 def rpt_ahead_effect(v: Views) -> DataFrame:
     out = reports.ahead_effect(v.tested)
     return out.withColumns({c: F.col(c).cast("long") for c in ("horizon", "has_ahead")})
 
 
-@query
+@staged
 def rpt_error_by_hour(v: Views) -> DataFrame:
     return reports.error_by_hour(v.tested).withColumn("hour_local", F.col("hour_local").cast("long"))
 
@@ -766,7 +777,7 @@ def range_replace(v: Views) -> DataFrame:
     return v.spark.read.parquet(path).select("event_id", "mode", "service_date")
 
 
-@query
+@staged
 def append_results(v: Views) -> DataFrame:
     lake = sinks.Lake(new_folder(v.spark, "results"), "dev_")
     first, last = sinks.day_bounds(v.pairs)
@@ -898,7 +909,7 @@ def stream_late_data(v: Views) -> DataFrame:
 # ---- the whole dataflow ----
 
 
-@query
+@staged
 def dataflow_end_to_end(v: Views) -> DataFrame:
     """Files to labels, examples, models, scores and monitoring; the result is monitoring."""
     lake = sinks.Lake(new_folder(v.spark, "lake"), "dev_")
@@ -915,6 +926,6 @@ def dataflow_end_to_end(v: Views) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(f: Query) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: f(Views(spark, sf_dir))
+        return lambda spark, sf_dir: f(Views(spark, sf_dir, f.__name__ in STAGED))
 
     return {name: bind(f) for name, f in QUERIES.items()}

@@ -18,6 +18,7 @@ from headwind.functions.columns import mode_of
 from headwind.operators import features
 from headwind.operators.labels import known_outcomes
 from headwind.operators.sliced import numbered, time_slice
+from headwind.session import materialize
 from headwind.settings import DEFAULTS
 from headwind.sources.snapshots import ENTITY, typed_records
 
@@ -40,8 +41,15 @@ def seconds(column: str, name: str | None = None) -> Column:
 
 @dataclass
 class Views:
+    """`staged` writes outcomes and pairs to tables first: queries that read them several times
+    then scan those tables instead of repeating the shuffles that lead to them."""
+
     spark: SparkSession
     folder: str
+    staged: bool = False
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name) if self.staged else df
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -78,7 +86,7 @@ class Views:
         k, e = F.col("k"), F.col("e")
         delay = F.floor(F.col("value") * 6) - 120
         rail = F.col("event_type").isin("signup", "error")
-        return numbered_events.select(
+        outcomes = numbered_events.select(
             "event_id",
             "user_id",
             "k",
@@ -102,6 +110,7 @@ class Views:
             F.timestamp_seconds(e - delay).alias("scheduled_arrival_ts"),
             (k <= 60).alias("is_observed"),
         )
+        return self._stage(outcomes, "arr")
 
     @cached_property
     def upd(self) -> DataFrame:
@@ -121,11 +130,11 @@ class Views:
 
     @cached_property
     def trend(self) -> DataFrame:
-        return features.with_trend(self.obs, SETTINGS)
+        return self._stage(features.with_trend(self.obs, SETTINGS), "trend")
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return features.pairs_of(self.trend, SETTINGS)
+        return self._stage(features.pairs_of(self.trend, SETTINGS), "pairs")
 
     @cached_property
     def sched(self) -> DataFrame:
@@ -173,7 +182,7 @@ class Views:
     def tested(self) -> DataFrame:
         """Held-out predictions of a fixed stand-in model, for the error reports."""
         rows = features.with_vehicle_ahead(
-            features.with_time(self.forecast_pairs, SETTINGS), self.trend, SETTINGS
+            features.with_time(self.forecast_pairs, SETTINGS), self.trend, SETTINGS, self.pairs
         )
         return rows.withColumns(
             {
