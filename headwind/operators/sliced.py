@@ -84,8 +84,10 @@ def earlier_row(
     # 1-based position of the wanted value in the handed-over list
     position = F.size("__before") - n + F.col("__rank")
     far = F.get("__before", position - 1)
+    # every slice has its row; an outer join only keeps Spark from adding a filter to one of the
+    # two readers of `ranked`, so that both share one shuffle
     return (
-        ranked.join(handed, [_KEY, _SLICE])
+        ranked.join(handed, [_KEY, _SLICE], "left")
         .withColumn(out, F.when(F.col("__rank") > n, F.col("__near")).otherwise(far)["v"])
         .drop(_KEY, _SLICE, "__value", "__rank", "__size", "__near", "__before")
     )

@@ -34,9 +34,14 @@ def greatest_before(
     slice_s: int = DEFAULTS.slice_s,
     null_keys_match: bool = False,
     asked: DataFrame | None = None,
+    latest: bool = False,
 ) -> DataFrame:
     """Add `out`: max payload over the right rows of the same key with time < (<=) `left_time`.
 
+    With `latest` it is the payload `v` of the last such time, together with that time `at`, and
+    the max only decides between rows of one instant. A number as payload keeps the first and
+    largest aggregation a hash aggregation.
+
     `by` lists (left column, right column) pairs. Every left row is kept exactly once.
 
     `asked` may give the keys and times of `left` from a cheaper source, such as the table `left`
@@ -68,6 +73,9 @@ def greatest_before(
         .groupBy(_KEY, _SLICE, _AT)
         .agg(F.max("__fact").alias("__fact"), F.bool_or("__asked").alias("__asked"))
     )
+    if latest:
+        dated = F.struct(F.col(_AT).alias("at"), F.col("__fact").alias("v"))
+        instants = instants.withColumn("__fact", F.when(F.isnotnull("__fact"), dated))
     so_far = (
         Window.partitionBy(_KEY, _SLICE)
         .orderBy(_AT)
@@ -85,9 +93,11 @@ def greatest_before(
         .filter("__asked")
         .select(_KEY, _SLICE, "__handed")
     )
+    # each side has its match; an outer join only keeps Spark from adding a filter to one of two
+    # readers of `instants`, so that both share one shuffle
     answers = (
         inside.filter("__asked")
-        .join(handed, [_KEY, _SLICE])
+        .join(handed, [_KEY, _SLICE], "left")
         .select(_KEY, _AT, F.greatest("__inside", "__handed").alias(out))
     )
     return (
@@ -118,7 +128,8 @@ def asof_backward(
     is deterministic. `age_out` adds whole seconds between the two times.
     """
     first = next(iter(values))
-    payload = F.struct(F.col(right_time).alias("at"), *[F.col(c).alias(o) for c, o in values.items()])
+    columns = [F.col(c).alias(o) for c, o in values.items()]
+    payload = columns[0] if len(columns) == 1 else F.struct(*columns)
     joined = greatest_before(
         left,
         right.filter(F.col(first).isNotNull()),
@@ -131,12 +142,17 @@ def asof_backward(
         slice_s,
         null_keys_match,
         asked,
+        latest=True,
     )
-    columns = [F.col(f"__latest.{o}").alias(o) for o in values.values()]
+    found = F.col("__latest")["v"]
+    if len(columns) == 1:
+        added = [found.alias(values[first])]
+    else:
+        added = [found[o].alias(o) for o in values.values()]
     if age_out:
-        age = F.unix_seconds(left_time) - F.unix_seconds(F.col("__latest.at"))
-        columns.append(age.alias(age_out))
-    return joined.select(*left.columns, *columns)
+        age = F.unix_seconds(left_time) - F.unix_seconds(F.col("__latest")["at"])
+        added.append(age.alias(age_out))
+    return joined.select(*left.columns, *added)
 
 
 def inside_any_interval(

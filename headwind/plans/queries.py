@@ -294,14 +294,14 @@ def stops_remaining(v: Views) -> DataFrame:
 @staged
 def history_range_join(v: Views) -> DataFrame:
     timed = features.with_time(v.pairs, SETTINGS)
-    return features.with_history(timed, v.trend, SETTINGS).select(
+    return features.with_history(timed, v.obs, SETTINGS).select(
         *_example_key(), r6("hist_avg_delay_s"), bigint("hist_n")
     )
 
 
 @staged
 def asof_strict(v: Views) -> DataFrame:
-    return features.with_vehicle_ahead(v.pairs, v.trend, SETTINGS).select(
+    return features.with_vehicle_ahead(v.pairs, v.obs, SETTINGS).select(
         *_example_key(), "ahead_delay_s", "ahead_age_s"
     )
 

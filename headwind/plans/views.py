@@ -130,11 +130,11 @@ class Views:
 
     @cached_property
     def trend(self) -> DataFrame:
-        return self._stage(features.with_trend(self.obs, SETTINGS), "trend")
+        return features.with_trend(self.obs, SETTINGS)
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return self._stage(features.pairs_of(self.trend, SETTINGS), "pairs")
+        return self._stage(features.pairs_of(self.obs, SETTINGS), "pairs")
 
     @cached_property
     def sched(self) -> DataFrame:
@@ -168,7 +168,7 @@ class Views:
     def examples(self) -> DataFrame:
         """Pairs with every feature."""
         return features.with_features(
-            self.pairs, self.trend, self.upd, self.sched, self.alerts, SETTINGS
+            self.pairs, self.obs, self.upd, self.sched, self.alerts, SETTINGS
         )
 
     @cached_property
@@ -182,7 +182,7 @@ class Views:
     def tested(self) -> DataFrame:
         """Held-out predictions of a fixed stand-in model, for the error reports."""
         rows = features.with_vehicle_ahead(
-            features.with_time(self.forecast_pairs, SETTINGS), self.trend, SETTINGS, self.pairs
+            features.with_time(self.forecast_pairs, SETTINGS), self.obs, SETTINGS, self.pairs
         )
         return rows.withColumns(
             {

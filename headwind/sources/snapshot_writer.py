@@ -18,8 +18,13 @@ ENTITIES_PER_FILE = 500
 
 
 def encode_snapshots(entities: DataFrame, feed: str) -> DataFrame:
-    """`(path, content)`: entities of one header second and batch, a bounded number per message."""
-    rows = entities.select(
+    """`(path, content)`: entities of one header second and batch, a bounded number per message.
+
+    Sorting by header gathers a snapshot in few messages; the entity id in the order lets a large
+    snapshot spread over several tasks.
+    """
+    order = [F.col("header_s"), F.col("e.id")]
+    rows = entities.repartitionByRange(*order).sortWithinPartitions(*order).select(
         "header_s",
         F.concat(
             F.lit(f"feed={feed}/date="),

@@ -163,24 +163,37 @@ def _decoder(schema: T.StructType, part: str):
     arrow = to_arrow_schema(schema)
     entity_type = schema["e"].dataType
 
-    def value_of(message, field: str, kind: T.DataType):
-        descriptor = message.DESCRIPTOR.fields_by_name[field]
-        raw = getattr(message, field)
-        if isinstance(kind, T.ArrayType):
-            return [row_of(item, kind.elementType) for item in raw]
-        if not message.HasField(field):
-            return None
-        if isinstance(kind, T.StructType):
-            return row_of(raw, kind)
-        if descriptor.enum_type is not None:
-            return descriptor.enum_type.values_by_number[raw].name
-        return raw
-
-    def row_of(message, kind: T.StructType) -> dict:
-        return {f.name: value_of(message, f.name, f.dataType) for f in kind.fields}
+    def reader(kind: T.StructType, descriptor):
+        """A function from message to dict, with every type decision made beforehand."""
+        plan = []
+        for f in kind.fields:
+            field = descriptor.fields_by_name[f.name]
+            if isinstance(f.dataType, T.ArrayType):
+                plan.append((f.name, "many", reader(f.dataType.elementType, field.message_type)))
+            elif isinstance(f.dataType, T.StructType):
+                plan.append((f.name, "one", reader(f.dataType, field.message_type)))
+            elif field.enum_type is not None:
+                names = {n: v.name for n, v in field.enum_type.values_by_number.items()}
+                plan.append((f.name, "value", names.get))
+            else:
+                plan.append((f.name, "value", None))
+
+        def read(message) -> dict:
+            row = {}
+            for name, form, convert in plan:
+                if form == "many":
+                    row[name] = [convert(item) for item in getattr(message, name)]
+                elif message.HasField(name):
+                    value = getattr(message, name)
+                    row[name] = convert(value) if convert else value
+            return row
+
+        return read
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         message_class = feedspec.feed_message()
+        entity_fields = message_class.DESCRIPTOR.fields_by_name["entity"].message_type
+        read = reader(entity_type, entity_fields)
         rows: list[dict] = []
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1), strict=True):
@@ -192,7 +205,7 @@ def _decoder(schema: T.StructType, part: str):
                             {
                                 "source_file": path.as_py(),
                                 "header_s": header_s,
-                                "e": row_of(entity, entity_type),
+                                "e": read(entity),
                             }
                         )
                     if len(rows) >= ENTITIES_PER_BATCH:
