@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -878,7 +879,8 @@ def stream_dedupe_positions(v: Views) -> DataFrame:
 def stream_static_join(v: Views) -> DataFrame:
     """Stream of updates, deduplicated by keys that identify a row, against the schedule."""
     schedule_table = materialize(v.sched, "schedule")
-    key = ("trip_id", "stop_sequence", "stop_id", "feed_ts", "predicted_departure_epoch")
+    key = ("trip_id", "stop_sequence", "stop_id", "feed_ts", "predicted_arrival_epoch",
+           "predicted_departure_epoch")
     out = jobs.stream_through(
         v.bronze("trip_updates"),
         lambda s: schedule.with_schedule_delay(
@@ -911,7 +913,7 @@ def stream_late_data(v: Views) -> DataFrame:
 
 @staged
 def dataflow_end_to_end(v: Views) -> DataFrame:
-    """Files to labels, examples, models, scores and monitoring; the result is monitoring."""
+    """Files to labels, examples, models, scores and monitoring; the result is rows per table."""
     lake = sinks.Lake(new_folder(v.spark, "lake"), "dev_")
     raw, static = _raw_files(v, *dataflow.FEEDS), new_folder(v.spark, "static")
     for file, rows in v.static_files.items():
@@ -921,7 +923,21 @@ def dataflow_end_to_end(v: Views) -> DataFrame:
     dataflow.build_training_set(v.spark, lake, settings=hourly)
     dataflow.train(v.spark, lake, settings=hourly, pipelines={"linear": models.linear_pipeline()})
     dataflow.score(v.spark, lake, hourly)
-    return lake.read(v.spark, "gold", "prediction_monitoring").drop("model_version", "processed_ts")
+    counts = [
+        lake.read(v.spark, *name.split(".")).agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+        for name in TABLES
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+TABLES = (
+    "bronze.trip_updates", "bronze.vehicle_positions", "bronze.alerts",
+    "silver.routes", "silver.stops", "silver.scheduled_stops",
+    "silver.stop_updates", "silver.positions", "silver.alerts",
+    "gold.stop_arrivals", "gold.route_delay_hourly", "gold.training_set",
+    "gold.model_results", "gold.test_predictions",
+    "gold.delay_predictions", "gold.prediction_monitoring", "gold.live_vehicles",
+)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
