@@ -31,7 +31,7 @@ from headwind.operators.scoring import (
     predictions_long,
     since_days,
 )
-from headwind.session import materialize
+from headwind.session import scratch
 from headwind.settings import DEFAULTS, Settings
 from headwind.sources.sinks import Lake, day_bounds
 from headwind.sources.versioned_csv import read_versioned
@@ -136,15 +136,16 @@ def build_training_set(
     """Examples of a range of dates, read with the days of history they need, replaced by date."""
     outcomes = lake.read(spark, "gold", "stop_arrivals")
     start, end = day_bounds(outcomes, first, last)
-    examples = training_examples(
-        between_days(outcomes, start - timedelta(days=settings.history_days), end),
-        between_days(lake.read(spark, "silver", "stop_updates"), start, end),
-        lake.read(spark, "silver", "scheduled_stops"),
-        lake.read(spark, "silver", "alerts"),
-        settings,
-        stage=materialize,
-    )
-    lake.replace_days(examples, "gold", "training_set", start, end)
+    with scratch(spark) as stage:
+        examples = training_examples(
+            between_days(outcomes, start - timedelta(days=settings.history_days), end),
+            between_days(lake.read(spark, "silver", "stop_updates"), start, end),
+            lake.read(spark, "silver", "scheduled_stops"),
+            lake.read(spark, "silver", "alerts"),
+            settings,
+            stage=stage,
+        )
+        lake.replace_days(examples, "gold", "training_set", start, end)
     return start, end
 
 
@@ -214,28 +215,38 @@ def load_champion(spark: SparkSession, lake: Lake) -> tuple[PipelineModel | None
     return (PipelineModel.load(row["path"]), row["run_id"]) if row else (None, None)
 
 
-def score(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS) -> date | None:
+def newest_snapshot(updates: DataFrame):
+    """Time of the newest snapshot, looked for in the last two service dates only."""
+    last_day = updates.agg(F.max("service_date").alias("d")).first()["d"]
+    recent = since_days(updates, "service_date", F.lit(last_day), 1)
+    return recent.agg(F.max("feed_ts").alias("t")).first()["t"]
+
+
+def score(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS):
     """Score active trips as of the newest snapshot, monitor past predictions, refresh live table."""
     everything = lake.read(spark, "silver", "stop_updates")
-    now = everything.agg(F.max("feed_ts").alias("now")).first()["now"]
+    now = newest_snapshot(everything)
     if now is None:
         return None
     now_ts, today = F.lit(now), F.to_date(F.lit(now))
     updates = since_days(everything, "service_date", today, 1)
     outcomes = lake.read(spark, "gold", "stop_arrivals")
-    examples = live_examples(
-        since_days(outcomes, "service_date", today, settings.history_days + 1),
-        updates,
-        lake.read(spark, "silver", "scheduled_stops"),
-        lake.read(spark, "silver", "alerts"),
-        now_ts,
-        settings,
-        stage=materialize,
-    )
     model, version = load_champion(spark, lake)
-    if model is not None:
-        examples = predict_delay(model, scorable(fill_features(examples, settings)), "model_pred_s")
-    lake.append(predictions_long(examples, now_ts, version), "gold", "delay_predictions")
+    with scratch(spark) as stage:
+        examples = live_examples(
+            since_days(outcomes, "service_date", today, settings.history_days + 1),
+            updates,
+            lake.read(spark, "silver", "scheduled_stops"),
+            lake.read(spark, "silver", "alerts"),
+            now_ts,
+            settings,
+            stage=stage,
+        )
+        if model is not None:
+            examples = predict_delay(
+                model, scorable(fill_features(examples, settings)), "model_pred_s"
+            )
+        lake.append(predictions_long(examples, now_ts, version), "gold", "delay_predictions")
     # outcomes of the whole monitoring range: with fewer, older days would vanish from the table
     days = settings.monitoring_days
     watched = monitoring(

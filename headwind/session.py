@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,8 +51,29 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return os.path.join(shared_root(spark), "headwind", f"{purpose}-{uuid.uuid4().hex}")
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A stage function whose tables are removed at the end of the block."""
+    folder = new_folder(spark, "scratch")
+    count = itertools.count()
+
+    def stage(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{next(count)}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield stage
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, purpose: str = "stage") -> DataFrame:
-    """Write once and read back. Ends the lineage and survives the loss of executors."""
+    """Write once and read back. Ends the lineage and survives the loss of executors.
+
+    For results that outlive the call; jobs use `scratch`.
+    """
     spark = df.sparkSession
     path = new_folder(spark, purpose)
     df.write.parquet(path)
