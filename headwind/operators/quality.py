@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from headwind.settings import DEFAULTS, Settings
@@ -88,10 +88,15 @@ def rule_rates(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
-def observed_rates(df: DataFrame, rules: Sequence[Rule], name: str) -> DataFrame:
-    """Attach the same counts as named metrics of the running query (batch or streaming)."""
+def observed_rates(
+    df: DataFrame, rules: Sequence[Rule], observation: Observation | str
+) -> DataFrame:
+    """Attach the same counts as metrics of the running query.
+
+    A batch takes an `Observation`, a stream the name its progress reports them under.
+    """
     return df.observe(
-        name,
+        observation,
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count_if(_holds(r)).alias(r.name) for r in rules],
     )

@@ -10,6 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headwind.functions.clock import epoch, utc_day
 from headwind.functions.columns import mode_of
 from headwind.operators.clean import alert_history
 from headwind.operators.evaluate import Split, error_metrics, result_rows, time_split
@@ -228,7 +229,8 @@ def score(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS):
     now = newest_snapshot(everything)
     if now is None:
         return None
-    now_ts, today = F.lit(now), F.to_date(F.lit(now))
+    now_ts = F.lit(now)
+    today = utc_day(epoch(now_ts))
     updates = since_days(everything, "service_date", today, 1)
     outcomes = lake.read(spark, "gold", "stop_arrivals")
     model, version = load_champion(spark, lake)

@@ -185,7 +185,7 @@ def date_between(v: Views) -> DataFrame:
 
 @query
 def recent_rows(v: Views) -> DataFrame:
-    kept = scoring.since_days(v.arr, "service_date", F.to_date(v.now), 7)
+    kept = scoring.since_days(v.arr, "service_date", clock.utc_day(F.unix_seconds(v.now)), 7)
     return kept.select("event_id", "service_date")
 
 
@@ -595,7 +595,7 @@ def rpt_worst_now(v: Views) -> DataFrame:
 
 @staged
 def rpt_pred_vs_actual(v: Views) -> DataFrame:
-    return reports.prediction_vs_actual(_predictions(v), v.arr, F.to_date(v.now), days=2).withColumn(
+    return reports.prediction_vs_actual(_predictions(v), v.arr, clock.utc_day(F.unix_seconds(v.now)), days=2).withColumn(
         "horizon", F.col("horizon").cast("long")
     )
 

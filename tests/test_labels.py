@@ -150,3 +150,14 @@ def test_rules_drop_unknown_and_count_every_row(spark):
     assert rates == {"vehicle_id_present": (3, 2), "position_in_area": (3, 2)}
     assert rule_rates(df.limit(0), position_rules()).first().pass_rate is None
     assert [r.drop for r in stop_update_rules()] == [True, True, False, False]
+
+
+def test_rules_as_metrics_of_a_running_query(spark):
+    from pyspark.sql import Observation
+
+    from headwind.operators.quality import observed_rates, outcome_rules
+
+    seen = Observation("rates")
+    rows = label(spark, update(60, 30), update(600, 30, trip="t2"))
+    assert observed_rates(rows, outcome_rules(), seen).count() == 2
+    assert seen.get == {"n_rows": 2, "label_is_observed": 1, "delay_in_bounds": 2}
