@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headwind.llm import mixing, rules
-from headwind.llm.texts import table
+from headwind.llm import mixing, packing, rules, secrets
+from headwind.llm.texts import table, tokenizer_path
 from headwind.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,12 +18,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.keep(docs, table(spark, sf_dir, "labels"))
 
 
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; its secrets are replaced."""
+    return secrets.redact(docs)
+
+
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeat, stay or go as the mix of sources draws them."""
     return mixing.apply(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_rules", quality_rules), ("source_mixing", source_mixing)]
+def vector_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens in sequences, one row per piece."""
+    return packing.pack_documents(docs, tokenizer_path())
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("secret_scans", secret_scans),
+    ("source_mixing", source_mixing),
+    ("vector_packing", vector_packing),
+]
 
 #: the stages fit models and call a tokenizer, which SQL does not express
 ORACLE_SQL: str | None = None

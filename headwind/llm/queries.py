@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headwind.llm import mixing, rules, urls
-from headwind.llm.texts import table
+from headwind.llm import mixing, packing, rules, secrets, urls
+from headwind.llm.texts import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge(table(spark, sf_dir, "pages"), urls.rule_table(spark))
     return judged.select("page_id", "host", "path", "rule", "verdict")

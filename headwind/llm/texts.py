@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Path of a public tokenizer's file on this machine; executors have the same package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def whole(text: Column | str) -> Column:
     """The text as a string; null is the empty text."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
