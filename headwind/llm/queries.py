@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headwind.llm import mixing, packing, rules, secrets, urls
+from headwind.llm import mixing, packing, quality, rules, secrets, toxicity, urls
 from headwind.llm.texts import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,11 +28,19 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge(table(spark, sf_dir, "pages"), urls.rule_table(spark))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def registered() -> dict[str, Query]:
     found = {f.__name__: f for f in globals().values() if getattr(f, "__name__", "")[:2] == "op"}
     return dict(sorted(found.items(), key=lambda f: int(f[0][2:].split("_")[0])))
