@@ -116,13 +116,15 @@ def schedule(plan: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row per slot: its place i, source, rank, round, block, and the words it takes of the block."""
     start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(_SPREAD).cast("long")))
     point = F.explode(F.sequence(F.col("start"), F.least(F.col("start") + _SPREAD, F.col("slots")) - 1))
+    # rows here are few but each makes up to _SPREAD slots, so they must not be merged into few tasks
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     whole_rounds = F.col("rounds") * F.col("blocks")
     left = F.col("block") * F.lit(block)
     end = F.when(F.col("rank") < whole_rounds, F.col("source_size")).otherwise(F.col("rest"))
     return (
         plan.filter("slots > 0")
         .withColumn("start", start)
-        .repartition("src", "no_src", "start")
+        .repartition(tasks, "src", "no_src", "start")
         .withColumn("point", point)
         .withColumn("point", F.col("since") + F.col("point"))
         .withColumn("slot", _reversed_bits(F.col("point"), F.col("bits")))
@@ -179,7 +181,8 @@ def mix(docs: DataFrame, seed: int = 11, weights: tuple[int, ...] = WEIGHTS, mos
     end = F.least(last + 1 - F.col("block") * block, F.col("slot_words"))
     has_words = stream.filter("size > 0").withColumn("block", piece)
     drawn = (
-        has_words.join(schedule(plan, block), ["src", "no_src", "block"], "left")
+        # the schedule grows with the data, so it must not be broadcast on a guess of its size
+        has_words.join(schedule(plan, block).hint("merge"), ["src", "no_src", "block"], "left")
         .groupBy(*key)
         # a block without a slot has no slot_words, and least() would pass over the null
         .agg(F.coalesce(F.sum(F.when(F.col("slot_words") > begin, end - begin)), F.lit(0)).alias("taken"))
