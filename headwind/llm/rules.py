@@ -1,6 +1,6 @@
 """Quality rules: base rules on text statistics, and an isolation forest on the same statistics.
 
-The forest is fitted on at most `trees * subsample` labelled rows, the first by hash of their id (a
+The forest is fitted on about `trees * subsample` labelled rows, chosen by the hash of their id (a
 documented bound; a tree never sees more than `subsample` rows by definition of the method). The
 rejection threshold is calibrated on all labelled rows. Everything else covers all documents.
 
@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headwind.llm.sampling import hashed_sample
 from headwind.llm.texts import BASE, SHAPE, arrow_pass, statistics
 from headwind.session import materialize
 
@@ -158,14 +159,13 @@ def fit(
     """Grows the forest on labelled rows that pass the base rules and calibrates its threshold.
 
     The threshold lies between the least one that keeps `keep_good` of all such rows labelled good and
-    the greatest one that lets no more bad rows pass than that. The driver sees at most
+    the greatest one that lets no more bad rows pass than that. The driver sees about
     `trees * subsample` rows of features and one count per score step and label.
     """
     known = labels.filter("quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
     passed = stats.filter("not base_failed")
     seen = materialize(passed.join(known, "doc_id"), "rules")
-    order = [F.xxhash64("doc_id", F.lit(seed)), *(F.col(c) for c in BASE)]
-    rows = seen.orderBy(*order).limit(trees * subsample).select("shape").collect()
+    rows = hashed_sample(seen, "doc_id", trees * subsample, seed).select("shape").collect()
     forest = grow(np.array([r[0] for r in rows], dtype=float).reshape(-1, len(FEATURES)), trees, subsample, seed)
     counts = np.zeros((2, _GRID + 1))
     for good in (0, 1):
