@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -45,52 +46,62 @@ class Limits:
     loss: int = 2048
 
 
+def _bytes_of_letters() -> dict[str, int]:
+    """The letters by which a byte-level vocabulary writes bytes: printable ones as they are, the
+    rest, in order, from U+0100 on."""
+    printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 class WordTokenizer:
     """Ids of whole texts by a tokenizer file, with the ids of words remembered.
 
     A byte-level BPE never joins a character to a single space after it, so a text with no double
     spaces and no white space but spaces and line feeds may be cut before each space. Words not seen
-    before are encoded together; the mark of a leading space tells where each begins. All other
-    texts are encoded whole.
+    before are encoded by their ranks, which are the ids of the file's own byte-level vocabulary (its
+    merges are numbered in order); all other texts are encoded whole by the tokenizer itself.
     """
 
+    #: fixed value: how a byte-level BPE of this kind cuts a text into pieces
+    _PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
     #: fixed value: white space beside space and line feed
     _OTHER = tuple(map(chr, (9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread for each task
+        import tiktoken
         from tokenizers import Tokenizer
 
         self._model = Tokenizer.from_file(path)
         self._model.encode_special_tokens = True  # their strings in a text are ordinary text
-        vocabulary = self._model.get_vocab()
-        self._begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self._begins[[i for token, i in vocabulary.items() if token[0] == "Ġ"]] = True
-        self._known: dict[str, bytes] = {"": self._encode(" ").tobytes()}
+        special = self._model.get_added_tokens_decoder()
+        byte = _bytes_of_letters()
+        ranks = {
+            bytes(byte[c] for c in token): i for token, i in self._model.get_vocab().items() if i not in special
+        }
+        self._words = tiktoken.Encoding("words", pat_str=self._PIECES, mergeable_ranks=ranks, special_tokens={})
+        self._known: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self._model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if "\n" not in w]
-        ids = self._encode(" " + " ".join(plain)) if plain else np.zeros(0, dtype="<u4")
-        cuts = np.flatnonzero(self._begins[ids])
-        if plain and len(cuts) == len(plain):
-            ends = [*cuts[1:].tolist(), len(ids)]
-            self._known.update((w, ids[i:j].tobytes()) for w, i, j in zip(plain, cuts.tolist(), ends, strict=True))
-        self._known.update((w, self._encode(" " + w).tobytes()) for w in words if w not in self._known)
+    def _learn(self, words: set[str]) -> None:
+        encode = self._words.encode_ordinary
+        self._known.update((w, array("I", encode(" " + w)).tobytes()) for w in words)
 
     def __call__(self, text: str) -> np.ndarray:
         if "  " in text or any(c in text for c in self._OTHER):
             return self._encode(text)
         if len(self._known) > _REMEMBER:
-            self._known = {"": self._known[""]}
+            self._known = {}
         first, *rest = text.split(" ")
         found = list(map(self._known.get, rest))
         if None in found:
-            self._learn(list({w for w, ids in zip(rest, found, strict=True) if ids is None}))
+            self._learn({w for w, ids in zip(rest, found, strict=True) if ids is None})
             found = map(self._known.__getitem__, rest)
-        return np.frombuffer(self._encode(first).tobytes() + b"".join(found), dtype="<u4")
+        return np.frombuffer(array("I", self._words.encode_ordinary(first)).tobytes() + b"".join(found), dtype="<u4")
 
 
 @lru_cache(maxsize=1)
