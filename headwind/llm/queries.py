@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headwind.llm import mixing, packing, quality, rules, secrets, toxicity, urls
+from headwind.llm import mixing, multiset, packing, quality, rules, secrets, toxicity, urls
 from headwind.llm.texts import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge(table(spark, sf_dir, "pages"), urls.rule_table(spark))
     return judged.select("page_id", "host", "path", "rule", "verdict")
