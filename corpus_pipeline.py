@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headwind.llm import mixing, packing, rules, secrets
+from headwind.llm import mixing, neardup, packing, rules, secrets
 from headwind.llm.texts import table, tokenizer_path
 from headwind.session import materialize
 
@@ -18,6 +18,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.keep(docs, table(spark, sf_dir, "labels"))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays (five-word shingles, similarity 0.8)."""
+    return neardup.keep(docs)
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; its secrets are replaced."""
     return secrets.redact(docs)
@@ -35,6 +40,7 @@ def vector_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
     ("secret_scans", secret_scans),
     ("source_mixing", source_mixing),
     ("vector_packing", vector_packing),
