@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headwind.llm import mixing, multiset, neardup, packing, quality, rules, secrets, toxicity, urls
+from headwind.llm import mixing, multiset, neardup, packing, quality, rules, secrets, suffix_tree, toxicity, urls
 from headwind.llm.texts import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
