@@ -12,11 +12,13 @@ Links are found without pairing up whole groups, and lose no pair that shares a
 1. Equal shingle sets form classes; only the least doc_id of a class goes on.
 2. Every member of a bucket is compared with the bucket's least member on full shingle sets. That
    gives links and, for every member, its distance to that pivot.
-3. Members of a bucket that are not yet in one component are compared with each other, but only
+3. Twice, members outside a bucket's largest component are compared with a member of it, drawn by
+   hash. This only joins components early, so that little is left for the next step.
+4. Members of a bucket that are not yet in one component are compared with each other, but only
    where their distances to the pivot differ by no more than the greatest distance of a link: by
    the triangle inequality of the Jaccard distance no other pair can be linked. Pairs inside a
    component are never made.
-4. Components by alternating star contraction, each round written to the shared folder.
+5. Components by alternating star contraction, each round written to the shared folder.
 
 Shingles are 64-bit hashes of word sequences; sets are compared on these, whole.
 
@@ -37,6 +39,7 @@ from headwind.llm.texts import arrow_pass, lower_words
 from headwind.session import materialize
 
 _BINS, _BANDS = 128, 32
+_TURNS = 2
 _ROWS = _BINS // _BANDS
 _FOLD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SEEDS = np.random.default_rng(20170401).integers(1, 1 << 63, 2 * _BINS, dtype=np.uint64)
@@ -177,18 +180,34 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
 
 
+def _split(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component, with the bucket's major one."""
+    rows = buckets.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    sizes = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("rows"))
+    split = sizes.groupBy("key").agg(F.max(F.struct("rows", "root")).alias("top"), F.count(F.lit(1)).alias("roots"))
+    return rows.join(split.filter("roots > 1").select("key", F.col("top.root").alias("major")), "key")
+
+
+def _to_major(buckets: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """Each member outside its bucket's major component, with one member of that, drawn by hash.
+
+    A member lies in many buckets, so it meets many members of a large component; at most 32 each.
+    """
+    rows = _split(buckets, roots)
+    drawn = F.min(F.struct(F.xxhash64("key", "id", F.lit(turn)), "id")).getField("id")
+    chosen = rows.filter("root = major").groupBy("key").agg(drawn.alias("x"))
+    return rows.filter("root <> major").join(chosen, "key").select("x", F.col("id").alias("y")).distinct()
+
+
 def _left_over(buckets: DataFrame, roots: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket's members in different components that the pivot's distances leave open."""
     width = F.lit(1 - percent / 100 + 1e-9)
     to_pivot = seen.select(F.col("x").alias("pivot"), F.col("y").alias("id"), (1 - F.col("common") / F.col("all")).alias("far"))
     rows = (
-        buckets.join(roots, "id", "left")
+        _split(buckets, roots)
         .join(to_pivot, ["pivot", "id"], "left")  # the pivot itself is not there: distance 0
-        .select("key", "id", "n", F.coalesce("root", "id").alias("root"), F.coalesce("far", F.lit(0.0)).alias("far"))
+        .select("key", "id", "n", "root", "major", F.coalesce("far", F.lit(0.0)).alias("far"))
     )
-    sizes = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("rows"))
-    split = sizes.groupBy("key").agg(F.max(F.struct("rows", "root")).alias("top"), F.count(F.lit(1)).alias("roots"))
-    rows = rows.join(split.filter("roots > 1").select("key", F.col("top.root").alias("major")), "key")
     cell = F.floor(F.col("far") / width)
     minor = rows.filter("root <> major").select(
         "key",
@@ -226,9 +245,12 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     linked = F.expr(f"100L * common >= {percent}L * `all`")
     stars = buckets.filter("id <> pivot").select(F.col("pivot").alias("x"), F.col("id").alias("y")).distinct()
     seen = materialize(compared(stars, sets), "neardup")
-    first = seen.filter(linked).select("x", "y")
-    more = compared(_left_over(buckets, components(first), seen, percent), sets).filter(linked).select("x", "y")
-    roots = components(first.unionByName(more))
+    links = seen.filter(linked).select("x", "y")
+    for turn in range(_TURNS):
+        tried = compared(_to_major(buckets, components(links), turn), sets).filter(linked).select("x", "y")
+        links = links.unionByName(materialize(tried, "neardup"))
+    rest = compared(_left_over(buckets, components(links), seen, percent), sets).filter(linked).select("x", "y")
+    roots = components(links.unionByName(rest))
 
     found = members.join(roots.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.coalesce("root", "rep", "doc_id")
