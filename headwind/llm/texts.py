@@ -49,16 +49,25 @@ def lower_words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+def slices(batches: Batches, rows: int) -> Batches:
+    """The batches' rows in pieces of at most `rows`, so that what is made of one stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def arrow_pass(
-    df: DataFrame, schema: str | T.StructType, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]]
+    df: DataFrame,
+    schema: str | T.StructType,
+    make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
+    rows: int = 1024,
 ) -> DataFrame:
-    """Applies a function of one Arrow batch to every batch. `make` runs once in each task."""
+    """Applies a function to all rows, at most `rows` at once. `make` runs once in each task."""
 
     def run(batches: Batches) -> Batches:
         step = make()
-        for batch in batches:
-            if batch.num_rows and (out := step(batch)) is not None:
-                yield out
+        for batch in slices(batches, rows):
+            yield step(batch)
 
     return df.mapInArrow(run, schema)
 
