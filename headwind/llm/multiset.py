@@ -128,25 +128,31 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The edited text's last floor(n/2) code points are the first as many of the next document.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text").cast("string")).alias("text"))
-    own = own.withColumn("n_chars", F.length("text").cast("long"))
-    half = F.floor(F.col("n_chars") / 2).cast("long")
+    # an alias on doc_id would make the two readers of the texts look different
+    key = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    own = docs.select(key, whole(F.col("text").cast("string")).alias("text"))
+    n = F.length("text").cast("long")
+    half = F.floor(n / 2).cast("long")
     ids = own.filter("doc_id is not null").groupBy("doc_id").agg(F.max(half).alias("half"))
     follows = materialize(successors(ids), "fingerprint").select(
         F.col("doc_id").alias("before_id"), F.col("half").alias("before_half"), F.col("next_id").alias("doc_id")
     )
-    marked = with_fingerprint(own, "text", "own")
+    # both joins below read the same rows and columns, so that they share one shuffle of the texts;
+    # fingerprints are made after it
+    placed = own.filter("doc_id is not null")
     head = F.substring(F.col("text"), F.lit(1), F.col("before_half").cast("int"))
     heads = (
-        marked.join(follows, "doc_id")
-        .select(F.col("before_id").alias("doc_id"), F.struct(head.alias("head"), F.col("own").alias("next")).alias("after"))
+        with_fingerprint(placed.join(follows.hint("merge"), "doc_id"), "text", "next")
+        .select(F.col("before_id").alias("doc_id"), F.struct(head.alias("head"), "next").alias("after"))
         .groupBy("doc_id")
         .agg(F.min("after").alias("after"))
     )
-    kept = F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int"))
+    followed = placed.join(heads.hint("merge"), "doc_id", "left")
+    rows = followed.unionByName(own.filter("doc_id is null"), allowMissingColumns=True)
+    kept = F.substring(F.col("text"), F.lit(1), (n - half).cast("int"))
     taken = F.substring(F.coalesce(F.col("after.head"), F.lit("")), F.lit(1), half.cast("int"))
-    edited = marked.join(heads, "doc_id", "left").select(
-        "doc_id", "n_chars", "own", F.col("after.next").alias("next"), F.concat(kept, taken).alias("edited_text")
+    edited = with_fingerprint(rows, "text", "own").select(
+        "doc_id", n.alias("n_chars"), "own", F.col("after.next").alias("next"), F.concat(kept, taken).alias("edited_text")
     )
     return with_fingerprint(edited, "edited_text", "edited").select(
         "doc_id",
