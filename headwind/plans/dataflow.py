@@ -19,8 +19,7 @@ from headwind.operators.labels import hourly_delay, last_prediction_label
 from headwind.operators.models import (
     BASELINES,
     fill_features,
-    predict_delay,
-    scorable,
+    predict_complete,
     select_model,
     test_prediction_rows,
 )
@@ -105,30 +104,30 @@ def refresh(
 
 
 def relabel(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS) -> None:
-    """Recompute labels and the hourly report for the service dates that gained updates.
+    """Recompute labels and the hourly report of exactly the service dates that gained updates.
 
-    Labels of a date change only while updates for it arrive. A date is due if its newest update
-    was ingested after its labels were made, or if it has none, so a job that failed half-way is
-    made up for by the next one. Updates without a service date cannot be placed and get no label.
+    `gold/labelled_dates` keeps, for each date, the newest ingest time that its labels have seen,
+    also where no label came out. A date is due if it has a newer update or is not there; it is
+    noted only after its labels are written, so a job that failed half-way is made up for by the
+    next one. Updates without a service date cannot be placed and get no label.
     """
     updates = lake.read(spark, "silver", "stop_updates")
-    due = updates.groupBy("service_date").agg(F.max("ingest_ts").alias("newest"))
-    if lake.exists(spark, "gold", "stop_arrivals"):
-        labelled = (
-            lake.read(spark, "gold", "stop_arrivals")
-            .groupBy("service_date")
-            .agg(F.min("processed_ts").alias("made"))
-        )
-        due = due.join(labelled, "service_date", "left").where(
-            F.isnull("made") | (F.col("newest") > F.col("made"))
-        )
-    first, last = day_bounds(due)
-    if first is None:
-        return
-    outcomes = last_prediction_label(between_days(updates, first, last), settings=settings)
-    lake.replace_days(outcomes, "gold", "stop_arrivals", first, last)
-    fresh = between_days(lake.read(spark, "gold", "stop_arrivals"), first, last)
-    lake.replace_days(hourly_delay(fresh, settings), "gold", "route_delay_hourly", first, last)
+    due = updates.where("service_date is not null").groupBy("service_date").agg(F.max("ingest_ts").alias("newest"))
+    if lake.exists(spark, "gold", "labelled_dates"):
+        seen = lake.read(spark, "gold", "labelled_dates").groupBy("service_date").agg(F.max("newest").alias("seen"))
+        due = due.join(seen, "service_date", "left").where(F.isnull("seen") | (F.col("newest") > F.col("seen")))
+    with scratch(spark) as stage:
+        due = stage(due.select("service_date", "newest"))
+        # one value per date that is due
+        days = sorted(r["service_date"] for r in due.select("service_date").collect())
+        if not days:
+            return
+        outcomes = last_prediction_label(updates.where(F.col("service_date").isin(days)), settings=settings)
+        lake.replace_days(outcomes, "gold", "stop_arrivals", days[0], days[-1], days=days)
+        fresh = lake.read(spark, "gold", "stop_arrivals").where(F.col("service_date").isin(days))
+        hourly = hourly_delay(fresh, settings)
+        lake.replace_days(hourly, "gold", "route_delay_hourly", days[0], days[-1], days=days)
+        lake.append(due, "gold", "labelled_dates")
 
 
 def build_training_set(
@@ -217,10 +216,9 @@ def load_champion(spark: SparkSession, lake: Lake) -> tuple[PipelineModel | None
 
 
 def newest_snapshot(updates: DataFrame):
-    """Time of the newest snapshot, looked for in the last two service dates only."""
-    last_day = updates.agg(F.max("service_date").alias("d")).first()["d"]
-    recent = since_days(updates, "service_date", F.lit(last_day), 1)
-    return recent.agg(F.max("feed_ts").alias("t")).first()["t"]
+    """Time of the newest snapshot of the whole table; one column is read, and no service date is
+    trusted, since a single wrong one would set the clock back."""
+    return updates.agg(F.max("feed_ts").alias("t")).first()["t"]
 
 
 def score(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS):
@@ -245,9 +243,8 @@ def score(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS):
             stage=stage,
         )
         if model is not None:
-            examples = predict_delay(
-                model, scorable(fill_features(examples, settings)), "model_pred_s"
-            )
+            # rows with incomplete inputs stay, for the baselines, without a model value
+            examples = predict_complete(model, fill_features(examples, settings), "model_pred_s")
         lake.append(predictions_long(examples, now_ts, version), "gold", "delay_predictions")
     # outcomes of the whole monitoring range: with fewer, older days would vanish from the table
     days = settings.monitoring_days

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -44,9 +46,16 @@ class Lake:
         ).parquet(self.path(layer, table))
 
     def replace_days(
-        self, df: DataFrame, layer: str, table: str, first: date, last: date, day: str = "service_date"
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        first: date,
+        last: date,
+        day: str = "service_date",
+        days: Sequence[date] | None = None,
     ) -> None:
-        replace_days(df, self.path(layer, table), first, last, day)
+        replace_days(df, self.path(layer, table), first, last, day, days)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -54,33 +63,53 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _move(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def replace_days(
-    df: DataFrame, path: str, first: date, last: date, day: str = "service_date"
+    df: DataFrame,
+    path: str,
+    first: date,
+    last: date,
+    day: str = "service_date",
+    days: Sequence[date] | None = None,
 ) -> None:
-    """Replace the rows of `first`..`last` and no others; create the table if it is missing.
+    """Replace the rows of `first`..`last`, or of exactly `days`; create the table if it is missing.
 
-    The rows are computed once, into a staging folder beside the table. A rebalance by day gives
-    each day few files and splits a day that is too large for one task. Then, day by day, the old
-    folder is removed and the staged one moved in; days without new rows end up empty. One writer
-    at a time; atomic per day, not across days. A crash while computing leaves the table as it was.
+    The rows are computed once, into a staging folder of this run beside the table. A rebalance by
+    day gives each day few files and splits a day that is too large for one task. Then, day by day,
+    the old folder is moved aside and the new one moved in; if that fails, the old one is moved back
+    and the error raised. Old folders go only when all days are in place, so after a crash they are
+    still in the staging folder. Days without new rows end up empty. One writer at a time.
     """
     spark = df.sparkSession
-    inside = df.where(F.col(day).between(F.lit(first), F.lit(last))).hint("rebalance", F.col(day))
+    chosen = list(days) if days is not None else [first + timedelta(days=n) for n in range((last - first).days + 1)]
+    wanted = F.col(day).isin(chosen) if days is not None else F.col(day).between(F.lit(first), F.lit(last))
+    inside = df.where(wanted).hint("rebalance", F.col(day))
     fs, table = _fs(spark, path)
     if not fs.exists(table):
         inside.write.partitionBy(day).parquet(path)
         return
-    staged = f"{path.rstrip('/')}.staging"
-    inside.write.mode("overwrite").partitionBy(day).parquet(staged)
-    for n in range((last - first).days + 1):
-        part = f"{day}={first + timedelta(days=n)}"
-        _, old = _fs(spark, f"{path}/{part}")
-        _, new = _fs(spark, f"{staged}/{part}")
-        if fs.exists(old):
-            fs.delete(old, True)
+    run = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    inside.write.partitionBy(day).parquet(f"{run}/new")
+    _, aside = _fs(spark, f"{run}/old")
+    fs.mkdirs(aside)
+    for value in chosen:
+        part = f"{day}={value}"
+        (_, here), (_, old), (_, new) = (_fs(spark, f"{root}/{part}") for root in (path, f"{run}/old", f"{run}/new"))
+        had = fs.exists(here)
+        if had:
+            _move(fs, here, old)
         if fs.exists(new):
-            fs.rename(new, old)
-    _, rest = _fs(spark, staged)
+            try:
+                _move(fs, new, here)
+            except Exception:
+                if had:
+                    _move(fs, old, here)
+                raise
+    _, rest = _fs(spark, run)
     fs.delete(rest, True)
     spark.catalog.refreshByPath(path)
 
