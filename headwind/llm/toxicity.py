@@ -143,7 +143,9 @@ def lexicon(sample: DataFrame, least_z: float = 5.0, weight: float = 50.0) -> di
         return {}
     n = float(sum(per_class.values()))
     prior = weight * (F.col("clean") + F.col("toxic")) / n
-    odds = lambda c, k: (F.col(c) + prior) / (F.lit(per_class[k] + weight) - F.col(c) - prior)
+    # a form in every text leaves none without it; half a text keeps the odds finite
+    without = lambda c, k: F.greatest(F.lit(per_class[k] + weight) - F.col(c) - prior, F.lit(0.5))
+    odds = lambda c, k: (F.col(c) + prior) / without(c, k)
     z = F.col("log_odds") / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
     rows = (
         _counts(sample)
