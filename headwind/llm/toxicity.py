@@ -143,8 +143,8 @@ def lexicon(sample: DataFrame, least_z: float = 5.0, weight: float = 50.0) -> di
         return {}
     n = float(sum(per_class.values()))
     prior = weight * (F.col("clean") + F.col("toxic")) / n
-    # a form in every text leaves none without it; half a text keeps the odds finite
-    without = lambda c, k: F.greatest(F.lit(per_class[k] + weight) - F.col(c) - prior, F.lit(0.5))
+    # a form in every text leaves none without it; one text in a hundred more keeps the odds finite
+    without = lambda c, k: F.lit(1.01 * per_class[k] + weight) - F.col(c) - prior
     odds = lambda c, k: (F.col(c) + prior) / without(c, k)
     z = F.col("log_odds") / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
     rows = (
@@ -186,6 +186,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = 20_000, seed: int = 3) -
     total = {k: max(1, rates[k].pop(0.0, 0)) for k in (0, 1)}
     share = {k: sum(rates[k].values()) / total[k] for k in (0, 1)}
     drift = min(-1e-3, math.log1p(-min(0.5, share[1])) - math.log1p(-min(0.5, share[0])))
+    # the extreme-value law needs clean texts to lose on average
+    gained = sum(score * n for score, n in rates[0].items()) / total[0]
+    drift = min(drift, -2 * gained)
     scale = _extreme_scale({s: n / total[0] for s, n in rates[0].items()} or {1.0: 1e-6}, drift)
     scanner = Scanner(words, drift, scale)
     best = _evidence(sample, scanner, best_only=True)
