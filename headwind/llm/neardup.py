@@ -18,6 +18,10 @@ Links are found without pairing up whole groups, and lose no pair that shares a
    where their distances to the pivot differ by no more than the greatest distance of a link: by
    the triangle inequality of the Jaccard distance no other pair can be linked. Pairs inside a
    component are never made.
+   In steps 3 and 4 a pair goes on to its full sets only if its long sketches allow a link: one bit
+   of each of 2048 coordinates, of which a linked pair differs in more than the limit with a chance
+   of about 1e-9 (six standard deviations). The test is part of the join, so a bucket of texts that
+   are alike, but not enough, hands on next to nothing.
 5. Components by alternating star contraction, each round written to the shared folder.
 
 Shingles are 64-bit hashes of word sequences; sets are compared on these, whole.
@@ -29,10 +33,13 @@ doc_id gets the component of its class, if other rows have ids, and is never a r
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headwind.llm.texts import arrow_pass, lower_words
@@ -40,6 +47,7 @@ from headwind.session import materialize
 
 _BINS, _BANDS = 128, 32
 _TURNS = 2
+_LONG = 16  # sketches in a long sketch
 _ROWS = _BINS // _BANDS
 _FOLD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SEEDS = np.random.default_rng(20170401).integers(1, 1 << 63, 2 * _BINS, dtype=np.uint64)
@@ -94,6 +102,21 @@ def bands(x: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def long_bits(x: np.ndarray) -> np.ndarray:
+    """One bit of each coordinate of several sketches, 64 to a number."""
+    # the lowest bit of a value has no part in the choice of bins or of least values
+    low = [sketch(_mixed(x ^ seed)) & np.uint64(1) for seed in _SEEDS[-_LONG:]]
+    return np.packbits(np.concatenate(low).astype(np.uint8)).view(np.int64)
+
+
+def _alike(a: str, b: str, percent: int) -> Column:
+    """Whether two long sketches allow a similarity of `percent`."""
+    n, p = _LONG * _BINS, (1 - percent / 100) / 2
+    limit = int(np.ceil(n * p + 6 * np.sqrt(n * p * (1 - p))))
+    differ = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(n // 64)]
+    return reduce(add, differ) <= limit
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -139,6 +162,21 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
     return arrow_pass(docs, "doc_id long, shingles array<long>", make)
 
 
+def long_sketches(sets: DataFrame) -> DataFrame:
+    """id and long sketch of sets that are not empty."""
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            sets = batch.column("shingles")
+            flat, ends = sets.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.cumsum([0, *map(len, sets)])
+            found = [long_bits(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), _longs(found)], names=["id", "bits"])
+
+        return step
+
+    return arrow_pass(sets.filter(F.size("shingles") > 0), "id long, bits array<long>", make, rows=256)
+
+
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (x, y) with the sizes of their sets' intersection and union."""
     left = sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("sx"))
@@ -188,7 +226,7 @@ def _split(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(split.filter("roots > 1").select("key", F.col("top.root").alias("major")), "key")
 
 
-def _to_major(buckets: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+def _to_major(buckets: DataFrame, roots: DataFrame, bits: DataFrame, percent: int, turn: int) -> DataFrame:
     """Each member outside its bucket's major component, with one member of that, drawn by hash.
 
     A member lies in many buckets, so it meets many members of a large component; at most 32 each.
@@ -196,30 +234,34 @@ def _to_major(buckets: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
     rows = _split(buckets, roots)
     drawn = F.min(F.struct(F.xxhash64("key", "id", F.lit(turn)), "id")).getField("id")
     chosen = rows.filter("root = major").groupBy("key").agg(drawn.alias("x"))
-    return rows.filter("root <> major").join(chosen, "key").select("x", F.col("id").alias("y")).distinct()
+    pairs = rows.filter("root <> major").join(chosen, "key").select("x", F.col("id").alias("y")).distinct()
+    left, right = (bits.select(F.col("id").alias(c), F.col("bits").alias(f"bits_{c}")) for c in "xy")
+    return pairs.join(left, "x").join(right, "y").filter(_alike("bits_x", "bits_y", percent)).select("x", "y")
 
 
-def _left_over(buckets: DataFrame, roots: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket's members in different components that the pivot's distances leave open."""
+def _left_over(buckets: DataFrame, roots: DataFrame, bits: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket's members in different components that the pivot's distances and the long
+    sketches leave open."""
     width = F.lit(1 - percent / 100 + 1e-9)
     to_pivot = seen.select(F.col("x").alias("pivot"), F.col("y").alias("id"), (1 - F.col("common") / F.col("all")).alias("far"))
     rows = (
         _split(buckets, roots)
         .join(to_pivot, ["pivot", "id"], "left")  # the pivot itself is not there: distance 0
-        .select("key", "id", "n", "root", "major", F.coalesce("far", F.lit(0.0)).alias("far"))
+        .join(bits, "id")
+        .select("key", "id", "n", "root", "major", F.coalesce("far", F.lit(0.0)).alias("far"), "bits")
     )
     cell = F.floor(F.col("far") / width)
     minor = rows.filter("root <> major").select(
         "key",
         F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"),
-        *(F.col(c).alias(f"{c}_x") for c in ("id", "n", "root", "far")),
+        *(F.col(c).alias(f"{c}_x") for c in ("id", "n", "root", "far", "bits")),
     )
     fits = 100 * F.least("n_x", "n") >= percent * F.greatest("n_x", "n")
     once = (F.col("root") == F.col("major")) | (F.col("id_x") < F.col("id"))
     near = F.abs(F.col("far_x") - F.col("far")) <= width
     return (
         minor.join(rows.withColumn("cell", cell), ["key", "cell"])
-        .filter((F.col("root_x") != F.col("root")) & once & near & fits)
+        .filter((F.col("root_x") != F.col("root")) & once & near & fits & _alike("bits_x", "bits", percent))
         .select(F.least("id_x", "id").alias("x"), F.greatest("id_x", "id").alias("y"))
         .distinct()
     )
@@ -246,10 +288,15 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     stars = buckets.filter("id <> pivot").select(F.col("pivot").alias("x"), F.col("id").alias("y")).distinct()
     seen = materialize(compared(stars, sets), "neardup")
     links = seen.filter(linked).select("x", "y")
+    roots = components(links)
+    # components only grow, so no other document can be in a divided bucket later on
+    open_ = _split(buckets, roots).select(F.col("id").alias("doc_id")).distinct()
+    bits = materialize(long_sketches(sets.join(open_, "doc_id", "left_semi")), "neardup")
     for turn in range(_TURNS):
-        tried = compared(_to_major(buckets, components(links), turn), sets).filter(linked).select("x", "y")
+        tried = compared(_to_major(buckets, roots, bits, percent, turn), sets).filter(linked).select("x", "y")
         links = links.unionByName(materialize(tried, "neardup"))
-    rest = compared(_left_over(buckets, components(links), seen, percent), sets).filter(linked).select("x", "y")
+        roots = components(links)
+    rest = compared(_left_over(buckets, roots, bits, seen, percent), sets).filter(linked).select("x", "y")
     roots = components(links.unionByName(rest))
 
     found = members.join(roots.withColumnRenamed("id", "rep"), "rep", "left")

@@ -148,6 +148,19 @@ def test_sketch_fills_and_estimates():
     assert neardup.sketch(shared[:1]).max() < np.iinfo(np.uint64).max  # one shingle fills all bins
 
 
+def test_long_sketches_differ_as_sets_do():
+    """About half the distance of the sets, within the six deviations that the filter allows."""
+    rng = np.random.default_rng(9)
+    for size in (7, 150, 2000):
+        for common in (0.92, 0.7):
+            kept = round(size * common)
+            x = rng.integers(1, 1 << 63, 2 * size - kept, dtype=np.uint64)
+            a, b = x[:size], x[size - kept :]
+            far = 1 - kept / (2 * size - kept)
+            differ = sum(int(w).bit_count() for w in (neardup.long_bits(a) ^ neardup.long_bits(b)).view(np.uint64))
+            assert abs(differ - 1024 * far) <= 6 * (2048 * (far / 2) * (1 - far / 2)) ** 0.5
+
+
 def test_multiset_is_homomorphic(spark):
     docs = frame(spark, ["p\nq\nr", "r\np\nq", "p\nq", "p\nq\nr2"])
     got = {r["doc_id"]: r for r in multiset.fingerprints(docs).collect()}
