@@ -34,6 +34,7 @@ from headwind.operators.scoring import (
 from headwind.session import scratch
 from headwind.settings import DEFAULTS, Settings
 from headwind.sources.sinks import Lake, day_bounds
+from headwind.sources.snapshots import bronze_schema
 from headwind.sources.versioned_csv import read_versioned
 from headwind.streaming.jobs import (
     burst,
@@ -77,14 +78,17 @@ def refresh(
     settings: Settings = DEFAULTS,
     day: str | None = None,
 ) -> None:
-    """Ingest new snapshots, extend silver, relabel the service dates they touch, rebuild reports."""
+    """Ingest new snapshots, extend silver, relabel the service dates they touch, rebuild reports.
+
+    A feed may have no files yet, or no folder; its tables are then empty.
+    """
     for feed in FEEDS:
         ingest_feed(
-            spark, raw_root, feed, lake.path("bronze", feed), lake.checkpoint(f"bronze_{feed}"), day
+            spark, raw_root, feed, lake.path("bronze", feed), lake.checkpoint(f"bronze_{feed}"), day, settings
         )
     load_schedule(spark, lake, static_root, settings)
     updates = silver_stop_updates(
-        stream_folder(spark, lake.path("bronze", "trip_updates")),
+        stream_folder(spark, lake.path("bronze", "trip_updates"), bronze_schema("trip_updates")),
         lake.read(spark, "silver", "scheduled_stops"),
         settings,
     )
@@ -94,12 +98,12 @@ def refresh(
         lake.checkpoint("silver_stop_updates"),
         ["service_date"],
     )
+    seen = stream_folder(spark, lake.path("bronze", "vehicle_positions"), bronze_schema("vehicle_positions"))
     burst(
-        silver_positions(stream_folder(spark, lake.path("bronze", "vehicle_positions")), settings),
-        lake.path("silver", "positions"),
-        lake.checkpoint("silver_positions"),
+        silver_positions(seen, settings), lake.path("silver", "positions"), lake.checkpoint("silver_positions")
     )
-    lake.overwrite(alert_history(lake.read(spark, "bronze", "alerts")), "silver", "alerts")
+    alerts = lake.read(spark, "bronze", "alerts", bronze_schema("alerts"))
+    lake.overwrite(alert_history(alerts), "silver", "alerts")
     relabel(spark, lake, settings)
 
 

@@ -857,7 +857,7 @@ def stream_dedupe(v: Views) -> DataFrame:
     out = jobs.stream_through(
         twice,
         lambda s: clean.distinct_by(
-            clean.stop_updates_of(s), clean.STOP_UPDATE_KEY, "feed_ts", "60 days"
+            clean.stop_updates_of(s), clean.STOP_UPDATE_KEY, "feed_ts", SETTINGS.watermark
         ),
         new_folder(v.spark, "dedupe"),
     )
@@ -869,7 +869,7 @@ def stream_dedupe_positions(v: Views) -> DataFrame:
     rows = v.bronze("vehicle_positions").where("vehicle_id IS NOT NULL")
     out = jobs.stream_through(
         rows.unionByName(rows),
-        lambda s: clean.distinct_by(clean.positions_of(s), clean.POSITION_KEY, "vehicle_ts", "60 days"),
+        lambda s: clean.distinct_by(clean.positions_of(s), clean.POSITION_KEY, "vehicle_ts", SETTINGS.watermark),
         new_folder(v.spark, "dedupe"),
     )
     return out.select("vehicle_id", seconds("vehicle_ts"))
@@ -884,7 +884,7 @@ def stream_static_join(v: Views) -> DataFrame:
     out = jobs.stream_through(
         v.bronze("trip_updates"),
         lambda s: schedule.with_schedule_delay(
-            clean.distinct_by(clean.stop_updates_of(s), key, "feed_ts", "60 days"),
+            clean.distinct_by(clean.stop_updates_of(s), key, "feed_ts", SETTINGS.watermark),
             schedule_table,
             settings=SETTINGS,
         ),

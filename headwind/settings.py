@@ -48,6 +48,8 @@ class Settings:
     gap_after_s: int = 300
     # streaming
     watermark: str = "2 hours"
+    # snapshot files that one micro-batch decodes; paces a backlog, never drops
+    files_per_batch: int = 1000
     # width of one time slice in the hot-key-safe ordered operators
     slice_s: int = 3600
 

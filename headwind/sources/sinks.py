@@ -9,6 +9,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from headwind.functions.clock import utc_day, utc_hour_text
 
@@ -33,8 +34,14 @@ class Lake:
         fs, path = _fs(spark, self.path(layer, table))
         return fs.exists(path)
 
-    def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
-        return spark.read.parquet(self.path(layer, table))
+    def read(
+        self, spark: SparkSession, layer: str, table: str, schema: StructType | None = None
+    ) -> DataFrame:
+        """With a declared schema, a table without files is an empty table."""
+        if schema is None:
+            return spark.read.parquet(self.path(layer, table))
+        make_folder(spark, self.path(layer, table))
+        return spark.read.schema(schema).parquet(self.path(layer, table))
 
     def append(self, df: DataFrame, layer: str, table: str) -> None:
         df.write.mode("append").parquet(self.path(layer, table))
@@ -63,6 +70,13 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder unless it is there, so that what reads it finds it empty."""
+    fs, folder = _fs(spark, path)
+    if not fs.exists(folder):
+        fs.mkdirs(folder)
+
+
 def _move(fs, source, target) -> None:
     if not fs.rename(source, target):
         raise OSError(f"could not move {source} to {target}")

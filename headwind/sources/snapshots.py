@@ -238,9 +238,27 @@ def watched_folder(root: str, feed: str, day: str | None = None) -> str:
     return f"{folder}/date={day}" if day else folder
 
 
-def read_files(spark: SparkSession, folder: str, stream: bool) -> DataFrame:
-    """Snapshot files below a folder, as a batch or as a stream that sees each file once."""
+def bronze_schema(feed: str) -> T.StructType:
+    """Columns of `bronze_records`, for tables that have no files yet."""
+    return T.StructType(
+        [
+            *record_schema(feed).fields,
+            T.StructField("source_file", T.StringType()),
+            T.StructField("ingest_ts", T.TimestampType()),
+        ]
+    )
+
+
+def read_files(
+    spark: SparkSession, folder: str, stream: bool, files_per_batch: int | None = None
+) -> DataFrame:
+    """Snapshot files below a folder, as a batch or as a stream that sees each file once.
+
+    `files_per_batch` bounds a micro-batch of the stream; all files are read in any case.
+    """
     reader = spark.readStream.schema(FILE_COLUMNS) if stream else spark.read
+    if stream and files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
         reader.format("binaryFile")
         .option("pathGlobFilter", "*.pb")

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from headwind.operators.clean import (
     POSITION_KEY,
@@ -17,6 +18,7 @@ from headwind.operators.clean import (
 from headwind.operators.quality import keep_valid, position_rules, stop_update_rules
 from headwind.operators.schedule import with_schedule_delay
 from headwind.settings import DEFAULTS, Settings
+from headwind.sources.sinks import make_folder
 from headwind.sources.snapshots import bronze_records, read_files, watched_folder
 
 
@@ -43,9 +45,16 @@ def ingest_feed(
     path: str,
     checkpoint: str,
     day: str | None = None,
+    settings: Settings = DEFAULTS,
 ) -> StreamingQuery:
-    """Decode the snapshot files of a feed that no earlier burst has seen."""
-    files = read_files(spark, watched_folder(raw_root, feed, day), stream=True)
+    """Decode the snapshot files of a feed that no earlier burst has seen.
+
+    A feed without a folder yet is a feed without files. `files_per_batch` only paces a backlog: no
+    state is kept here, so nothing can come too late.
+    """
+    folder = watched_folder(raw_root, feed, day)
+    make_folder(spark, folder)
+    files = read_files(spark, folder, stream=True, files_per_batch=settings.files_per_batch)
     return burst(bronze_records(files, feed), path, checkpoint)
 
 
@@ -66,9 +75,10 @@ def silver_positions(bronze: DataFrame, settings: Settings = DEFAULTS) -> DataFr
     return keep_valid(rows, position_rules(settings))
 
 
-def stream_folder(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet folder written by an earlier job, as a stream of its files."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+def stream_folder(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A parquet folder written by an earlier job, as a stream of its files; it may be empty."""
+    make_folder(spark, path)
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def stream_through(

@@ -86,3 +86,18 @@ def test_refresh_train_and_score(spark, tmp_path):
     assert {r.predictor for r in predictions.select("predictor").distinct().collect()} <= {"persistence", "provider"}
     live = lake.read(spark, "gold", "live_vehicles")
     assert live.count() == 0  # these vehicles report no trip
+
+
+def test_refresh_without_any_alert_or_position(spark, tmp_path):
+    """Feeds that have no folder, or an empty one, give empty tables; a later file is picked up."""
+    raw, static = tmp_path / "raw", tmp_path / "static"
+    lake = Lake(str(tmp_path / "lake"), "dev_")
+    static_files(static)
+    put(raw, "trip_updates", "2026-10-05", START, trip_entity("t0", [(1, START + 8 * 3600)]))
+    (raw / "feed=alerts").mkdir()
+    dataflow.refresh(spark, lake, str(raw), str(static), SETTINGS)
+    assert lake.read(spark, "silver", "stop_updates").count() == 1
+    assert lake.read(spark, "silver", "alerts").count() == 0
+    put(raw, "alerts", "2026-10-05", START, alert_entity("a"))
+    dataflow.refresh(spark, lake, str(raw), str(static), SETTINGS)
+    assert lake.read(spark, "silver", "alerts").count() == 1
