@@ -208,6 +208,56 @@ def test_tree_base_and_gain(spark):
     assert sum(r["score"] for r in got.values()) > sum(r["base_score"] for r in got.values())
 
 
+def test_tree_equals_brute_force(spark):
+    """Contexts of three words that few texts hold, and copies, against a tree grown in plain Python."""
+    rng = np.random.default_rng(6)
+    common = [f"c{i}" for i in range(300)]
+    texts = []
+    for i in range(150):
+        words = list(rng.choice(common, 300))
+        if i % 3 == 0:
+            for at in range(0, 60, 6):
+                a, b = rng.integers(0, 2, 2)
+                words[at : at + 4] = [f"p{a}", "q", f"r{b}", f"out{a}{b}"]
+        texts.append(" ".join(words))
+    texts += [texts[0]] * 5 + [None]
+    got = {r["doc_id"]: r for r in suffix_tree.score(frame(spark, texts)).collect()}
+
+    tokens = [(t or "").split() + [""] for t in texts]
+    train = [t for i, t in enumerate(tokens) if zlib.crc32(str(i).encode()) % 7 != 2]
+    c = Counter(w for t in train for w in t)
+    n, once, twice = sum(c.values()), sum(x == 1 for x in c.values()), sum(x == 2 for x in c.values())
+    d = min(0.9, max(0.1, once / max(1, once + 2 * twice)))
+    levels = []
+
+    def p(context, w):
+        at = [m for m in range(1, len(levels) + 1) if len(context) >= m and context[-m:] in levels[m - 1]]
+        out = (c[w] - d) / n if c[w] else d * len(c) / n
+        for m in at:
+            added = levels[m - 1][context[-m:]]
+            out = (1 - sum(added.values())) * out + added.get(w, 0)
+        return out
+
+    while True:
+        length = len(levels) + 1
+        follow = {}
+        for t in train:
+            for j in range(length, len(t)):
+                follow.setdefault(tuple(t[j - length : j]), Counter())[t[j]] += 1
+        level = {}
+        for context, seen in follow.items():
+            total = sum(seen.values())
+            for w, k in seen.items():
+                if k >= 2 and k * np.log(k / (total * p(context, w))) >= 8:
+                    level.setdefault(context, {})[w] = (k - d) / total
+        if not level:
+            break
+        levels.append(level)
+    assert len(levels) >= 3
+    for i, t in enumerate(tokens):
+        assert abs(got[i]["score"] - sum(np.log10(p(tuple(t[max(0, j - len(levels)) : j]), w)) for j, w in enumerate(t))) < 1e-6
+
+
 def test_segments_equal_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(30):
