@@ -537,24 +537,20 @@ def train_linear(v: Views) -> DataFrame:
 
 @staged
 def train_gbt(v: Views) -> DataFrame:
-    return _fitted(v, models.tree_pipeline(max_depth=4, max_iter=10))
-
-
-def _few() -> dict:
-    return models.candidates(max_iter=5)
+    return _fitted(v, models.tree_pipeline())
 
 
 @staged
 def model_selection(v: Views) -> DataFrame:
     train, test, split = _split(v)
-    chosen = models.select_model(train, test, _few())
+    chosen = models.select_model(train, test, models.candidates())
     return evaluate.result_rows(chosen.metrics, chosen.name or "baselines", split).drop("processed_ts")
 
 
 @staged
 def test_predictions(v: Views) -> DataFrame:
     train, test, _ = _split(v)
-    chosen = models.select_model(train, test, _few())
+    chosen = models.select_model(train, test, models.candidates())
     lake = sinks.Lake(new_folder(v.spark, "predictions"))
     lake.overwrite(models.test_prediction_rows(chosen.scored, "run"), "gold", "test_predictions")
     return lake.read(v.spark, "gold", "test_predictions")
@@ -565,10 +561,9 @@ def champion_gate(v: Views) -> DataFrame:
     """A run on few days must not become champion, a full one must."""
     lake = sinks.Lake(new_folder(v.spark, "champions"))
     lake.overwrite(v.examples, "gold", "training_set", "service_date")
-    linear = {"linear": models.linear_pipeline()}
     start, end = sinks.day_bounds(lake.read(v.spark, "gold", "training_set"))
-    dataflow.train(v.spark, lake, str(start), str(start + timedelta(days=9)), SETTINGS, linear)
-    dataflow.train(v.spark, lake, str(start), str(end), SETTINGS, linear)
+    dataflow.train(v.spark, lake, str(start), str(start + timedelta(days=9)), SETTINGS)
+    dataflow.train(v.spark, lake, str(start), str(end), SETTINGS)
     _, version = dataflow.load_champion(v.spark, lake)
     return lake.read(v.spark, "models", "registry").select(
         "model", "data_status", "is_champion", (F.col("run_id") == version).alias("is_loaded")
@@ -921,7 +916,7 @@ def dataflow_end_to_end(v: Views) -> DataFrame:
     hourly = replace(SETTINGS, label_max_lead_s=3600, max_abs_delay_s=86_400, live_anchor_max_age_s=86_400)
     dataflow.refresh(v.spark, lake, raw, static, hourly)
     dataflow.build_training_set(v.spark, lake, settings=hourly)
-    dataflow.train(v.spark, lake, settings=hourly, pipelines={"linear": models.linear_pipeline()})
+    dataflow.train(v.spark, lake, settings=hourly)
     dataflow.score(v.spark, lake, hourly)
     counts = [
         lake.read(v.spark, *name.split(".")).agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
