@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headwind.llm.texts import WORD, whole
+from headwind.llm.texts import WORD, whole, with_row_key
 from headwind.session import materialize
 
 #: words in one block
@@ -197,9 +197,12 @@ def mix(docs: DataFrame, seed: int = 11, weights: tuple[int, ...] = WEIGHTS, mos
 def apply(docs: DataFrame, seed: int = 11) -> DataFrame:
     """The documents of the mix with their own columns, each repeated `copies` times, never cut.
 
-    A source exceeds its target by less than one document. Rows that share a doc_id are drawn
-    together: the largest number of copies among them holds for each.
+    A source exceeds its target by less than one document. Each row is drawn on its own, whether its
+    doc_id is null, shared or its own.
     """
-    copies = mix(docs, seed).filter("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("__copies"))
+    rows = with_row_key(docs, "mixing")
+    drawn = mix(rows.select(F.col("__row").alias("doc_id"), "source", "text"), seed).filter("copies > 0")
+    copies = drawn.select(F.col("doc_id").alias("__row"), F.col("copies").alias("__copies"))
     each = F.explode(F.sequence(F.lit(1), F.col("__copies")))
-    return docs.join(copies, "doc_id").withColumn("__copy", each).select(*docs.columns)
+    # the drawn rows grow with the data, so they must not be broadcast on a guess of their size
+    return rows.join(copies.hint("merge"), "__row").withColumn("__copy", each).select(*docs.columns)

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headwind.llm.texts import arrow_pass, lower_words
+from headwind.llm.texts import arrow_pass, lower_words, with_row_key
 from headwind.session import materialize
 
 _BINS, _BANDS = 128, 32
@@ -307,12 +307,22 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 
 def keep(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents with one of each group left, all columns unchanged; repeated rows count as a group."""
-    grouped = materialize(group(docs, size, percent), "neardup")
-    gone = grouped.filter("not kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    again = grouped.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if again.isEmpty():
-        return left
-    repeated = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(again, "doc_id", "left_anti").unionByName(repeated.select(*docs.columns)).select(*docs.columns)
+    """The documents with one of each group left, all columns unchanged.
+
+    Rows are grouped by their texts alone, whatever their doc_id; the least doc_id stays, one that is
+    null only if there is no other. Rows without words stay, but of those equal in doc_id and text one.
+    """
+    rows = with_row_key(docs, "neardup")
+    grouped = materialize(group(rows.select(F.col("__row").alias("doc_id"), "text"), size, percent), "neardup")
+    groups = grouped.select(F.col("doc_id").alias("__row"), "n_shingles", "component_id")
+    blank = F.col("n_shingles") == 0
+    named = groups.join(rows.select("__row", "doc_id", "text"), "__row").select(
+        "__row",
+        "doc_id",
+        F.when(blank & F.col("doc_id").isNotNull(), F.lit(None)).otherwise(F.col("component_id")).alias("component"),
+        F.when(blank, F.col("doc_id")).alias("id"),
+        F.when(blank, F.col("text")).alias("words"),
+    )
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row"))
+    left = named.groupBy("component", "id", "words").agg(least.getField("__row").alias("__row")).select("__row")
+    return rows.join(left, "__row", "left_semi").select(*docs.columns)

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from headwind.session import materialize
+
 #: fixed value: a word is a run of anything but space and the five ASCII line and tab characters
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -39,6 +41,11 @@ def remainder(key: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % modulus, F.lit(-1))
 
 
+def with_row_key(docs: DataFrame, purpose: str) -> DataFrame:
+    """The rows with a key of their own, `__row`; written, so that it stays the same in every pass."""
+    return materialize(docs.withColumn("__row", F.monotonically_increasing_id()), purpose)
+
+
 def words_of(text: str) -> list[bytes]:
     """UTF-8 words. bytes.split() cuts at exactly the six characters that WORD excludes."""
     return text.encode("utf-8", "surrogatepass").split()

@@ -140,6 +140,19 @@ def test_near_copies_equal_brute_force(spark):
     assert all(r["n_shingles"] == len(sets[r["doc_id"]]) for r in got)
 
 
+def test_pipeline_stages_keep_rows_with_null_and_shared_ids(spark):
+    texts = [text(i) for i in range(6)] + [text(0), text(1), "", "", None]
+    ids = [None, 1, None, 3, 3, 3, 0, None, 8, 8, None]
+    docs = frame(spark, texts, ids, ["a"] * 11)
+    kept = Counter((r["doc_id"], r["text"]) for r in neardup.keep(docs).collect())
+    own = [(0, texts[0]), (1, texts[1]), (None, texts[2]), (3, texts[3]), (3, texts[4]), (3, texts[5]), (8, ""), (None, None)]
+    assert kept == Counter(own)
+    # one source alone is drawn as it is
+    drawn = mixing.apply(docs)
+    assert drawn.columns == docs.columns
+    assert Counter(r["text"] for r in drawn.collect()) == Counter(t for t in texts if t)
+
+
 def test_sketch_fills_and_estimates():
     rng = np.random.default_rng(1)
     shared, own = rng.integers(0, 1 << 62, 900, dtype=np.uint64), rng.integers(0, 1 << 62, 100, dtype=np.uint64)
