@@ -1,7 +1,8 @@
 """Secret scans: base patterns, and assignment-aware lexing of names and literals.
 
-The lexer reads source and configuration syntax into (name, literal) pairs, follows names that are
-assigned other names, and scores each literal by the names that it reaches and by its own shape.
+The lexer reads source and configuration syntax, typed and labelled assignments included, into
+(name, literal) pairs, follows names that are assigned other names, wherever these are defined, and
+scores each literal by the names that it reaches and by its own shape.
 Whole texts are read, one at a time; nothing is shuffled.
 
 Spans are kind:start:end in code points, end exclusive. Defined cases: null text is empty and has no
@@ -13,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
@@ -32,10 +34,15 @@ _NAMES = ("passw", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # whole runs, so the least length can stand in the pattern
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
-_PAIR = re.compile(
-    r"""(?P<name>[A-Za-z_][\w.\-]*)["'\]]?[ \t]*(?::=|=>|==?|:)[ \t]*"""
-    r"""(?:(?P<quote>["'`])(?P<literal>[^"'`\n]+)(?P=quote)|(?P<bare>[^\s"'`,;#(){}\[\]<>]+))"""
-)
+_VALUE = r"""[ \t]*(?:(?P<quote>["'`])(?P<literal>[^"'`\n]+)(?P=quote)|(?P<bare>[^\s"'`,;#(){}\[\]<>]+))"""
+_PAIR = re.compile(r"""(?P<name>[A-Za-z_][\w.\-]*)["'\]]?[ \t]*(?::=|=>|==?|:)""" + _VALUE)
+# after a bare value: what is left of a type, and the sign that makes the value a type or a name
+_ASSIGNED = re.compile(r"""(?:[ \t]*(?:\[[^\[\]\n=]*(?:\[[^\[\]\n=]*\][^\[\]\n=]*)*\]|<[^<>\n=]*>|\|[ \t]*[\w.]+))*[ \t]*(?::=|=(?![=>]))""")
+_ASSIGNED_VALUE = re.compile(_VALUE)
+# a name and its sign at the start of a bare value, which is read again from there if it is no longer
+# than this, so that a long run of signs does not take time by its square
+_NAMED = re.compile(r"[A-Za-z_][\w.\-]*[:=]")
+_READ_AGAIN = 512
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _REFERENCE = re.compile(r"\$?\{?([A-Za-z_][\w.\-]*)\}?$")
 #: fixed values: parts of names by how sensitive they are
@@ -76,21 +83,60 @@ def literal_score(value: str) -> float:
     return min(1.0, n / 16) + (kinds >= 2) * 0.5 + (kinds >= 3) * 0.5 + min(1.0, entropy / 4)
 
 
+def pairs(text: str) -> list[tuple[str, str, str, int, int]]:
+    """(name, kind of value, value, start, end). `a: b = value` gives the value to a, to which b may be a
+    type, and to b, to which a may be a label."""
+    found, at = [], 0
+    while m := _PAIR.search(text, at):
+        at = m.end()
+        kind = "literal" if m["literal"] is not None else "bare"
+        found.append((m["name"], kind, m[kind], m.start(kind), m.end(kind)))
+        sign = _ASSIGNED.match(text, at) if kind == "bare" else None
+        value = _ASSIGNED_VALUE.match(text, sign.end()) if sign else None
+        if value:
+            own = "literal" if value["literal"] is not None else "bare"
+            found.append((m["name"], own, value[own], value.start(own), value.end(own)))
+        if value or (kind == "bare" and m.end(kind) - m.start(kind) <= _READ_AGAIN and _NAMED.match(text, m.start(kind))):
+            at = m.start("bare")
+    return found
+
+
+def resolved(found: list[tuple[str, str, str, int, int]]) -> list[int]:
+    """For each pair, the pair whose value it stands for: names are followed to the last definition
+    before their use or, without one, to the first after it. A circle ends where it closes."""
+    defined: dict[str, list[int]] = {}
+    for i, (name, *_) in enumerate(found):
+        defined.setdefault(name, []).append(i)
+    stands: list[int | None] = [None] * len(found)
+    for i in range(len(found)):
+        path, at, on = [], i, set()
+        while stands[at] is None and at not in on:
+            path.append(at)
+            on.add(at)
+            _, kind, value, *_ = found[at]
+            ref = _REFERENCE.match(value) if kind == "bare" else None
+            places = defined.get(ref[1], []) if ref else []
+            before = bisect_left(places, at)
+            after = before + (before < len(places) and places[before] == at)
+            if before:
+                at = places[before - 1]
+            elif after < len(places):
+                at = places[after]
+        end = at if stands[at] is None else stands[at]
+        for place in path:
+            stands[place] = end
+    return stands
+
+
 def literal_spans(text: str) -> list[Span]:
     """Literals whose own shape and whose names, direct or by way of other names, look like a secret."""
     if "=" not in text and ":" not in text:
         return []
-    at: dict[str, tuple[str, int, int]] = {}  # what a name stands for: literal and place
     best: dict[tuple[int, int], tuple[float, str]] = {}
-    for m in _PAIR.finditer(text):
-        kind = "literal" if m["literal"] is not None else "bare"
-        value, start, end = m[kind], m.start(kind), m.end(kind)
-        ref = _REFERENCE.match(value) if kind == "bare" else None
-        meant = at.get(ref[1]) if ref else None
-        if meant:
-            value, start, end = meant
-        at[m["name"]] = (value, start, end)
-        score = name_score(m["name"])
+    found = pairs(text)
+    for (name, *_), i in zip(found, resolved(found), strict=True):
+        _, _, value, start, end = found[i]
+        score = name_score(name)
         if score > best.get((start, end), (0.0, ""))[0]:
             best[start, end] = (score, value)
     return sorted(

@@ -206,6 +206,32 @@ def test_secrets_by_hand():
     assert secrets.spans_of("password: short")[0] == [] and secrets.spans_of("ſecret=abcdefghijkl")[0] == []
 
 
+@pytest.mark.parametrize(
+    "line",
+    [
+        'client_secret_key: str = "aB3dE5fG7hJ9kL"',
+        'const privateKey: string = "aB3dE5fG7hJ9kL";',
+        'note: client_secret_key = "aB3dE5fG7hJ9kL"',
+        'client_secret_key: Optional[str] = "aB3dE5fG7hJ9kL"',
+        'client_secret_key: str | None = "aB3dE5fG7hJ9kL"',
+        'note: client_secret_key: str = "aB3dE5fG7hJ9kL"',
+        'note: client_secret_key="aB3dE5fG7hJ9kL"',
+        'note: client_secret_key=aB3dE5fG7hJ9kL',
+        'client_secret_key = v\nw = 1\nv = "aB3dE5fG7hJ9kL"',
+        'client_secret_key = u\nu = v\nv = "aB3dE5fG7hJ9kL"',
+        'v = "aB3dE5fG7hJ9kL"\nclient_secret_key: str = v',
+    ],
+)
+def test_secrets_behind_types_labels_and_later_names(line):
+    at = line.index("aB3")
+    assert (at, "literal", at + 14) in secrets.spans_of(line)[0]
+    assert "aB3dE5fG7hJ9kL" not in secrets.redacted(line)
+
+
+def test_secrets_names_in_a_circle_end():
+    assert secrets.spans_of("client_secret_key = b\nb = c\nc = b\nd = d")[0] == []
+
+
 def test_tree_base_and_gain(spark):
     texts = [text(i, 60) + " left right left right left right" for i in range(60)] + [None]
     docs = frame(spark, texts)
