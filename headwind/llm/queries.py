@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headwind.llm import mixing, multiset, neardup, packing, quality, rules, secrets, suffix_tree, toxicity, urls
+from headwind.llm import (
+    filter_audit,
+    hard_negatives,
+    mixing,
+    multiset,
+    neardup,
+    packing,
+    prefix_counts,
+    quality,
+    rules,
+    secrets,
+    suffix_tree,
+    toxicity,
+    urls,
+)
 from headwind.llm.texts import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,10 +67,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_counts.count(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 def registered() -> dict[str, Query]:
     found = {f.__name__: f for f in globals().values() if getattr(f, "__name__", "")[:2] == "op"}
     return dict(sorted(found.items(), key=lambda f: int(f[0][2:].split("_")[0])))
 
 
 def statements() -> dict[str, str]:
-    return {"op7_url_filters": urls.SQL}
+    return {
+        "op7_url_filters": urls.SQL,
+        "op12_filter_audit": filter_audit.SQL,
+        "op13_hard_negatives": hard_negatives.SQL,
+    }
