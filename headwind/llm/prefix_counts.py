@@ -21,7 +21,9 @@ text has no tokens; repeated rows are counted alike; other columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,7 @@ class PrefixCounter:
     """Counts for the model file of a BPE vocabulary with scores and byte fallback."""
 
     def __init__(self, path: str):
+        import ahocorasick
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -51,10 +54,15 @@ class PrefixCounter:
             if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
         ]
         self._score = {model.id_to_piece(i): model.get_score(i) for i in plain}
-        self._most = max(map(len, self._score), default=1)
         joined = sorted({c for piece in self._score if len(piece) > 1 for c in piece} - {_SPACE})
         word = "[" + "".join(map(re.escape, joined)) + "]"
         self._cut = re.compile(f"{_SPACE}*{word}+|{_SPACE}+|.", re.DOTALL)
+        # a character of longer pieces that is no piece itself is written in bytes
+        self._cost = {c: len(c.encode()) for c in joined if c not in self._score}
+        self._ending = ahocorasick.Automaton()
+        for piece in {*self._score, *self._cost}:
+            self._ending.add_word(piece, piece)
+        self._ending.make_automaton()
         self._known: dict[str, bytes] = {}
         self._apart: dict[tuple[str, str], bool] = {}
 
@@ -78,26 +86,26 @@ class PrefixCounter:
         found = self._apart.get(key)
         if found is None:
             if len(self._apart) >= _REMEMBER:
-                self._apart = {}
+                self._apart.clear()
             parts = self._merged(before + piece)
             found = self._apart[key] = parts == ([before, piece] if before else [piece])
         return found
 
-    def _cost(self, piece: str) -> int:
-        """1 for a piece of the vocabulary; a character outside it is written in bytes."""
-        return 1 if piece in self._score else len(piece.encode("utf-8", "surrogatepass"))
-
     def _deltas(self, part: str) -> bytes:
         """What each code point of a part adds to the count."""
-        counts, last = [0], [""]
-        for i in range(1, len(part) + 1):
-            for size in range(min(i, self._most), 0, -1):
-                piece = part[i - size : i]
-                if (size == 1 or piece in self._score) and self._stay_apart(last[i - size], piece):
-                    break
-            counts.append(counts[i - size] + self._cost(piece))
-            last.append(piece)
-        return np.diff(np.array(counts, dtype="<i4")).tobytes()
+        if len(part) == 1 and part not in self._score:
+            return array("i", [len(part.encode("utf-8", "surrogatepass"))]).tobytes()
+        counts, last, apart = [0] * (len(part) + 1), [""] * (len(part) + 1), self._apart
+        # all pieces that end at a place, place by place; just one of them ends the encoding there
+        for end, piece in self._ending.iter(part):
+            end += 1
+            if last[end]:
+                continue
+            start = end - len(piece)
+            fits = apart.get((last[start], piece))
+            if fits or fits is None and self._stay_apart(last[start], piece):
+                last[end], counts[end] = piece, counts[start] + self._cost.get(piece, 1)
+        return array("i", map(sub, counts[1:], counts)).tobytes()
 
     def _delta_of(self, part: str) -> bytes:
         found = self._known.get(part)
@@ -126,7 +134,7 @@ class PrefixCounter:
         # one space goes before every text and has no code point of its own
         spaced = _SPACE + text.replace(" ", _SPACE)
         deltas = [b"".join(map(self._delta_of, self._cut.findall(s))) for s in self._stretches(spaced)]
-        found = np.cumsum(np.frombuffer(b"".join(deltas), dtype="<i4"), dtype=np.int32)
+        found = np.cumsum(np.frombuffer(b"".join(deltas), dtype=np.int32), dtype=np.int32)
         found[0] = 0
         return found
 
