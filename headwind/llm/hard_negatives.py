@@ -266,8 +266,9 @@ def _met(index_: Index, visits: DataFrame, same_label: bool, n: int, settings: S
     many = dict(index_.rows.groupBy("leaf").count().collect())
     asks = dict(visits.groupBy("leaf").count().collect())
     sizes = [(leaf, -(-many[leaf] // settings.block), -(-asks[leaf] // settings.group)) for leaf in asks if leaf in many]
-    # two tables, as both sides of a co-group must not come from one
-    plan = lambda: spark.createDataFrame(sizes, "leaf long, blocks int, groups int")
+    # one row a leaf: the tree bounds it, whatever the rows; without the hint Spark knows no size of it.
+    # Two tables, as both sides of a co-group must not come from one
+    plan = lambda: F.broadcast(spark.createDataFrame(sizes, "leaf long, blocks int, groups int"))
     dealt = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     meet = ["leaf", "block", "group"]
