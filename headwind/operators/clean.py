@@ -56,6 +56,23 @@ def positions_of(vehicle_rows: DataFrame) -> DataFrame:
     )
 
 
+ALERT_KEY = ("entity_id", "route_id", "stop_id", "cause", "effect", "header_text")
+
+
+def merged_alerts(histories: DataFrame, *also: str) -> DataFrame:
+    """Histories of several times, one under the other, as one. Merging the same one twice changes nothing."""
+    return histories.groupBy(*ALERT_KEY, *also).agg(
+        F.min("first_seen_ts").alias("first_seen_ts"),
+        F.max("last_seen_ts").alias("last_seen_ts"),
+        F.min("active_start_ts").alias("active_start_ts"),
+    )
+
+
+def with_alert_bucket(history: DataFrame, buckets: int) -> DataFrame:
+    """`bucket`: the same for all rows of a key, whenever they are made."""
+    return history.withColumn("bucket", F.pmod(F.xxhash64(*ALERT_KEY), F.lit(buckets)).cast("int"))
+
+
 def alert_history(alert_rows: DataFrame) -> DataFrame:
     """Per alert, affected route and stop and text: first seen, last seen, earliest active start.
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -93,10 +95,32 @@ def observed_rates(
 ) -> DataFrame:
     """Attach the same counts as metrics of the running query.
 
-    A batch takes an `Observation`, a stream the name its progress reports them under.
+    A batch takes an `Observation`, a stream the name its progress reports them under. Where rules
+    drop rows, `n_dropped` counts the rows that break at least one of them.
     """
+    dropping = [_holds(r) for r in rules if r.drop]
+    dropped = [F.count_if(~reduce(and_, dropping)).alias("n_dropped")] if dropping else []
     return df.observe(
         observation,
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count_if(_holds(r)).alias(r.name) for r in rules],
+        *dropped,
     )
+
+
+#: one row per run, table and rule; `n_dropped` is the table's, whichever rule a row broke
+COUNTS = "name string, rule string, action string, n_rows long, n_passed long, n_dropped long, pass_rate double"
+
+
+def rule_counts(name: str, rules: Sequence[Rule], metrics: Iterable[Mapping[str, int]]) -> list[tuple]:
+    """Rows of COUNTS for one table: what `observed_rates` reported, summed over a run's batches.
+
+    A run without batches has seen 0 rows and has no rates.
+    """
+    metrics = list(metrics)
+    total = lambda key: sum(m[key] for m in metrics if key in m)
+    n, dropped = total("n_rows"), total("n_dropped")
+    return [
+        (name, r.name, "drop" if r.drop else "warn", n, total(r.name), dropped, total(r.name) / n if n else None)
+        for r in rules
+    ]

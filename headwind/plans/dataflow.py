@@ -7,12 +7,12 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from headwind.functions.clock import epoch, utc_day
 from headwind.functions.columns import mode_of
-from headwind.operators.clean import alert_history
+from headwind.operators.clean import alert_history, merged_alerts, with_alert_bucket
 from headwind.operators.evaluate import Split, error_metrics, result_rows, time_split
 from headwind.operators.features import live_examples, training_examples
 from headwind.operators.labels import hourly_delay, last_prediction_label
@@ -23,6 +23,15 @@ from headwind.operators.models import (
     select_model,
     test_prediction_rows,
 )
+from headwind.operators.quality import (
+    COUNTS,
+    observed_rates,
+    outcome_rules,
+    position_rules,
+    rule_counts,
+    stop_rules,
+    stop_update_rules,
+)
 from headwind.operators.schedule import newest_version, of_version, schedule_of
 from headwind.operators.scoring import (
     between_days,
@@ -33,12 +42,14 @@ from headwind.operators.scoring import (
 )
 from headwind.session import scratch
 from headwind.settings import DEFAULTS, Settings
-from headwind.sources.sinks import Lake, day_bounds
+from headwind.sources.sinks import Lake, day_bounds, make_folder, remove
 from headwind.sources.snapshots import bronze_schema
 from headwind.sources.versioned_csv import read_versioned
 from headwind.streaming.jobs import (
     burst,
+    each_batch,
     ingest_feed,
+    reported,
     silver_positions,
     silver_stop_updates,
     stream_folder,
@@ -47,8 +58,11 @@ from headwind.streaming.jobs import (
 FEEDS = ("trip_updates", "vehicle_positions", "alerts")
 
 
-def load_schedule(spark: SparkSession, lake: Lake, static_root: str, settings: Settings) -> None:
-    """Newest schedule version to the silver tables routes, stops and scheduled_stops."""
+def load_schedule(spark: SparkSession, lake: Lake, static_root: str, settings: Settings) -> list[tuple]:
+    """Newest schedule version to the silver tables routes, stops and scheduled_stops.
+
+    Returns the counts of the stops' rules.
+    """
     version = newest_version(read_versioned(spark, static_root, "feed_info"))
 
     def newest(file: str) -> DataFrame:
@@ -60,7 +74,8 @@ def load_schedule(spark: SparkSession, lake: Lake, static_root: str, settings: S
     stops = newest("stops").withColumns(
         {c: F.col(c).try_cast("double") for c in ("stop_lat", "stop_lon")}
     )
-    lake.overwrite(stops, "silver", "stops")
+    rules, seen = stop_rules(settings), Observation()
+    lake.overwrite(observed_rates(stops, rules, seen), "silver", "stops")
     plan = schedule_of(
         newest("stop_times").drop("gtfs_version"),
         newest("trips").drop("gtfs_version"),
@@ -68,6 +83,7 @@ def load_schedule(spark: SparkSession, lake: Lake, static_root: str, settings: S
         settings,
     )
     lake.overwrite(plan, "silver", "scheduled_stops")
+    return rule_counts("silver.stops", rules, [seen.get])
 
 
 def refresh(
@@ -77,61 +93,122 @@ def refresh(
     static_root: str,
     settings: Settings = DEFAULTS,
     day: str | None = None,
+    archive: str | None = None,
 ) -> None:
     """Ingest new snapshots, extend silver, relabel the service dates they touch, rebuild reports.
 
-    A feed may have no files yet, or no folder; its tables are then empty.
+    A feed may have no files yet, or no folder; its tables are then empty. Every step reads what is
+    new since the last refresh. `gold/quality` gains one row per table and rule: the rows that this
+    refresh judged, those that passed, and those that were dropped. With an `archive` folder, read
+    snapshots are moved there.
     """
     for feed in FEEDS:
-        ingest_feed(
-            spark, raw_root, feed, lake.path("bronze", feed), lake.checkpoint(f"bronze_{feed}"), day, settings
-        )
-    load_schedule(spark, lake, static_root, settings)
+        target, checkpoint = lake.path("bronze", feed), lake.checkpoint(f"bronze_{feed}")
+        ingest_feed(spark, raw_root, feed, target, checkpoint, day, settings, archive)
+    counts = load_schedule(spark, lake, static_root, settings)
     updates = silver_stop_updates(
         stream_folder(spark, lake.path("bronze", "trip_updates"), bronze_schema("trip_updates")),
         lake.read(spark, "silver", "scheduled_stops"),
         settings,
+        observe="rules",
     )
-    burst(
+    query = burst(
         updates,
         lake.path("silver", "stop_updates"),
         lake.checkpoint("silver_stop_updates"),
         ["service_date"],
     )
-    seen = stream_folder(spark, lake.path("bronze", "vehicle_positions"), bronze_schema("vehicle_positions"))
-    burst(
-        silver_positions(seen, settings), lake.path("silver", "positions"), lake.checkpoint("silver_positions")
+    counts += rule_counts("silver.stop_updates", stop_update_rules(settings), reported(query, "rules"))
+    positions = stream_folder(spark, lake.path("bronze", "vehicle_positions"), bronze_schema("vehicle_positions"))
+    query = burst(
+        silver_positions(positions, settings, observe="rules"),
+        lake.path("silver", "positions"),
+        lake.checkpoint("silver_positions"),
     )
-    alerts = lake.read(spark, "bronze", "alerts", bronze_schema("alerts"))
-    lake.overwrite(alert_history(alerts), "silver", "alerts")
-    relabel(spark, lake, settings)
+    counts += rule_counts("silver.positions", position_rules(settings), reported(query, "rules"))
+    extend_alerts(spark, lake, settings)
+    counts += relabel(spark, lake, settings)
+    run = F.lit(uuid.uuid4().hex).alias("run_id")
+    lake.append(
+        spark.createDataFrame(counts, COUNTS).select(run, "*", F.current_timestamp().alias("counted_at")), "gold", "quality"
+    )
+
 
+def extend_alerts(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS) -> None:
+    """Merge the alerts of new bronze files into the history; what is in the other buckets is not read.
 
-def relabel(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS) -> None:
+    First and last sightings and least starts merge in any order and however often, so a batch that
+    comes again after a failure changes nothing. A mark stands while buckets are being replaced; if a
+    job died then, the next one builds the history anew from all of bronze.
+    """
+    bronze = lake.path("bronze", "alerts")
+    mark = lake.path("silver", "alerts_being_replaced")
+
+    def bucketed(rows: DataFrame) -> DataFrame:
+        return with_alert_bucket(alert_history(rows), settings.alert_buckets)
+
+    def rebuild() -> None:
+        lake.overwrite(bucketed(lake.read(spark, "bronze", "alerts", bronze_schema("alerts"))), "silver", "alerts", "bucket")
+
+    def merge(batch: DataFrame, _: int) -> None:
+        with scratch(spark) as stage:
+            fresh = stage(bucketed(batch))
+            # at most `alert_buckets` values
+            buckets = sorted(r["bucket"] for r in fresh.select("bucket").distinct().collect())
+            if not buckets:
+                return
+            if lake.exists(spark, "silver", "alerts"):
+                fresh = lake.read(spark, "silver", "alerts").where(F.col("bucket").isin(buckets)).unionByName(fresh)
+            make_folder(spark, mark)
+            lake.replace_parts(merged_alerts(fresh, "bucket"), "silver", "alerts", "bucket", buckets)
+            remove(spark, mark)
+
+    begun = lake.exists(spark, "silver", "alerts")
+    if lake.exists(spark, "silver", "alerts_being_replaced") or (
+        begun and "bucket" not in lake.read(spark, "silver", "alerts").columns
+    ):
+        make_folder(spark, mark)
+        rebuild()
+        remove(spark, mark)
+    each_batch(stream_folder(spark, bronze, bronze_schema("alerts")), merge, lake.checkpoint("silver_alert_history"))
+    if not lake.exists(spark, "silver", "alerts"):
+        none = bucketed(spark.createDataFrame([], bronze_schema("alerts"))).drop("bucket")
+        none.write.parquet(f"{lake.path('silver', 'alerts')}/bucket=0")
+
+
+def relabel(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS) -> list[tuple]:
     """Recompute labels and the hourly report of exactly the service dates that gained updates.
 
-    `gold/labelled_dates` keeps, for each date, the newest ingest time that its labels have seen,
-    also where no label came out. A date is due if it has a newer update or is not there; it is
-    noted only after its labels are written, so a job that failed half-way is made up for by the
-    next one. Updates without a service date cannot be placed and get no label.
+    The new files of the stop updates name the dates that are due, and only these are read. They come
+    as a numbered batch that counts as done when its labels are written; a job that failed half-way is
+    made up for by the next one, which gets the same batch again. `gold/label_batches` keeps each
+    batch's dates with the newest ingest time, also where no label came out. Updates without a service
+    date cannot be placed and get no label. Returns the counts of the labels' rules.
     """
-    updates = lake.read(spark, "silver", "stop_updates")
-    due = updates.where("service_date is not null").groupBy("service_date").agg(F.max("ingest_ts").alias("newest"))
-    if lake.exists(spark, "gold", "labelled_dates"):
-        seen = lake.read(spark, "gold", "labelled_dates").groupBy("service_date").agg(F.max("newest").alias("seen"))
-        due = due.join(seen, "service_date", "left").where(F.isnull("seen") | (F.col("newest") > F.col("seen")))
-    with scratch(spark) as stage:
-        due = stage(due.select("service_date", "newest"))
-        # one value per date that is due
-        days = sorted(r["service_date"] for r in due.select("service_date").collect())
-        if not days:
-            return
-        outcomes = last_prediction_label(updates.where(F.col("service_date").isin(days)), settings=settings)
-        lake.replace_days(outcomes, "gold", "stop_arrivals", days[0], days[-1], days=days)
-        fresh = lake.read(spark, "gold", "stop_arrivals").where(F.col("service_date").isin(days))
-        hourly = hourly_delay(fresh, settings)
-        lake.replace_days(hourly, "gold", "route_delay_hourly", days[0], days[-1], days=days)
-        lake.append(due, "gold", "labelled_dates")
+    bronze = lake.read(spark, "bronze", "trip_updates", bronze_schema("trip_updates"))
+    schema = silver_stop_updates(bronze, lake.read(spark, "silver", "scheduled_stops"), settings).schema
+    updates = lake.read(spark, "silver", "stop_updates", schema)
+    rules, metrics = outcome_rules(settings), []
+
+    def label(batch: DataFrame, number: int) -> None:
+        with scratch(spark) as stage:
+            due = stage(batch.groupBy("service_date").agg(F.max("ingest_ts").alias("newest")))
+            # one value per date that is due
+            every = sorted(r["service_date"] for r in due.select("service_date").collect())
+            for first in range(0, len(every), settings.days_per_pass):
+                days = every[first : first + settings.days_per_pass]
+                outcomes = last_prediction_label(updates.where(F.col("service_date").isin(days)), settings=settings)
+                seen = Observation()
+                lake.replace_parts(observed_rates(outcomes, rules, seen), "gold", "stop_arrivals", "service_date", days)
+                metrics.append(seen.get)
+                fresh = lake.read(spark, "gold", "stop_arrivals").where(F.col("service_date").isin(days))
+                lake.replace_parts(hourly_delay(fresh, settings), "gold", "route_delay_hourly", "service_date", days)
+            if every:
+                due.write.mode("overwrite").parquet(f"{lake.path('gold', 'label_batches')}/batch={number}")
+
+    touched = stream_folder(spark, lake.path("silver", "stop_updates"), schema).select("service_date", "ingest_ts")
+    each_batch(touched.where("service_date is not null"), label, lake.checkpoint("gold_labels"))
+    return rule_counts("gold.stop_arrivals", rules, metrics)
 
 
 def build_training_set(

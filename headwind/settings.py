@@ -50,6 +50,10 @@ class Settings:
     watermark: str = "2 hours"
     # snapshot files that one micro-batch decodes; paces a backlog, never drops
     files_per_batch: int = 1000
+    # hash buckets of the alert history; a burst rewrites those that its alerts fall into
+    alert_buckets: int = 64
+    # service dates that are labelled together; paces a backlog of dates, never drops
+    days_per_pass: int = 31
     # width of one time slice in the hot-key-safe ordered operators
     slice_s: int = 3600
 

@@ -64,12 +64,36 @@ class Lake:
     ) -> None:
         replace_days(df, self.path(layer, table), first, last, day, days)
 
+    def replace_parts(self, df: DataFrame, layer: str, table: str, column: str, values: Sequence) -> None:
+        replace_parts(df, self.path(layer, table), column, values)
+
 
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all that is in it, if it is there."""
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
+
+
+def drop_empty_folders(spark: SparkSession, folder: str) -> None:
+    """Delete the empty folders below a folder, never one with a file in it, even if that came just now."""
+    fs, top = _fs(spark, folder)
+
+    def emptied(path) -> None:
+        for child in fs.listStatus(path):
+            if child.isDirectory():
+                emptied(child.getPath())
+                if not len(fs.listStatus(child.getPath())):
+                    fs.delete(child.getPath(), False)
+
+    if fs.exists(top):
+        emptied(top)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     """Create a folder unless it is there, so that what reads it finds it empty."""
     fs, folder = _fs(spark, path)
@@ -92,26 +116,37 @@ def replace_days(
 ) -> None:
     """Replace the rows of `first`..`last`, or of exactly `days`; create the table if it is missing.
 
+    As `replace_parts`, for one part a day.
+    """
+    if days is not None:
+        replace_parts(df, path, day, list(days))
+        return
+    chosen = [first + timedelta(days=n) for n in range((last - first).days + 1)]
+    replace_parts(df.where(F.col(day).between(F.lit(first), F.lit(last))), path, day, chosen, inside=True)
+
+
+def replace_parts(df: DataFrame, path: str, column: str, values: Sequence, inside: bool = False) -> None:
+    """Replace the parts of a table that have these values of its partition column, and no others.
+
     The rows are computed once, into a staging folder of this run beside the table. A rebalance by
-    day gives each day few files and splits a day that is too large for one task. Then, day by day,
+    part gives each part few files and splits one that is too large for one task. Then, part by part,
     the old folder is moved aside and the new one moved in; if that fails, the old one is moved back
-    and the error raised. Old folders go only when all days are in place, so after a crash they are
-    still in the staging folder. Days without new rows end up empty. One writer at a time.
+    and the error raised. Old folders go only when all parts are in place, so after a crash they are
+    still in the staging folder. Parts without new rows end up empty. One writer at a time. `inside`:
+    the caller has left out all other values.
     """
     spark = df.sparkSession
-    chosen = list(days) if days is not None else [first + timedelta(days=n) for n in range((last - first).days + 1)]
-    wanted = F.col(day).isin(chosen) if days is not None else F.col(day).between(F.lit(first), F.lit(last))
-    inside = df.where(wanted).hint("rebalance", F.col(day))
+    inside_rows = (df if inside else df.where(F.col(column).isin(list(values)))).hint("rebalance", F.col(column))
     fs, table = _fs(spark, path)
     if not fs.exists(table):
-        inside.write.partitionBy(day).parquet(path)
+        inside_rows.write.partitionBy(column).parquet(path)
         return
     run = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
-    inside.write.partitionBy(day).parquet(f"{run}/new")
+    inside_rows.write.partitionBy(column).parquet(f"{run}/new")
     _, aside = _fs(spark, f"{run}/old")
     fs.mkdirs(aside)
-    for value in chosen:
-        part = f"{day}={value}"
+    for value in values:
+        part = f"{column}={value}"
         (_, here), (_, old), (_, new) = (_fs(spark, f"{root}/{part}") for root in (path, f"{run}/old", f"{run}/new"))
         had = fs.exists(here)
         if had:

@@ -250,15 +250,19 @@ def bronze_schema(feed: str) -> T.StructType:
 
 
 def read_files(
-    spark: SparkSession, folder: str, stream: bool, files_per_batch: int | None = None
+    spark: SparkSession, folder: str, stream: bool, files_per_batch: int | None = None, archive: str | None = None
 ) -> DataFrame:
     """Snapshot files below a folder, as a batch or as a stream that sees each file once.
 
-    `files_per_batch` bounds a micro-batch of the stream; all files are read in any case.
+    `files_per_batch` bounds a micro-batch of the stream; all files are read in any case. With an
+    `archive` folder the stream moves files there, under their whole paths, once their batch is done;
+    what it lists then does not grow with the history of the feed.
     """
     reader = spark.readStream.schema(FILE_COLUMNS) if stream else spark.read
     if stream and files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if stream and archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return (
         reader.format("binaryFile")
         .option("pathGlobFilter", "*.pb")
