@@ -789,8 +789,8 @@ def append_results(v: Views) -> DataFrame:
 def overwrite_table(v: Views) -> DataFrame:
     """The second write replaces rows and columns."""
     lake = sinks.Lake(new_folder(v.spark, "overwritten"))
-    lake.overwrite(v.events.select("event_id"), "gold", "t")
-    lake.overwrite(v.events.where("k < 50").select("event_id", "event_type"), "gold", "t")
+    lake.overwrite(v.events.select("event_id", "value"), "gold", "t")
+    lake.overwrite(v.events.select("event_id", "event_type"), "gold", "t")
     return lake.read(v.spark, "gold", "t")
 
 

@@ -50,15 +50,18 @@ def worst_now(vehicles: DataFrame, at_least: int = 2, top: int = 15) -> DataFram
 def prediction_vs_actual(
     predictions: DataFrame, outcomes: DataFrame, today: Column, days: int = 2, sample: int = 3000
 ) -> DataFrame:
-    """A fixed number of (predicted, actual) points, chosen by order so that it is repeatable."""
+    """A fixed number of (predicted, actual) points, drawn by a hash of their key: repeatable, and no
+    trip or day comes first."""
     actual = outcomes.where(F.col("is_observed") & (F.abs("delay_s") < 3600)).select(
         "service_date", "trip_id", F.col("stop_sequence").alias("target_stop_sequence"), "delay_s"
     )
     key = ["service_date", "trip_id", "target_stop_sequence"]
+    point = [*key[1:], "horizon", "predictor"]
+    drawn = F.md5(F.concat_ws("|", F.col("service_date").cast("string"), *[F.col(c).cast("string") for c in point]))
     return (
         predictions.where(F.col("service_date") >= F.date_sub(today, days))
         .join(actual, key)
-        .orderBy(F.desc("service_date"), "trip_id", "target_stop_sequence", "horizon", "predictor")
+        .orderBy(drawn, *point)
         .limit(sample)
         .select(
             "predictor",
