@@ -6,8 +6,9 @@ import itertools
 import os
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,16 +66,55 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     try:
         yield stage
     finally:
+        remove(spark, [folder])
+
+
+def remove(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Delete folders with all that is in them."""
+    for folder in folders:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_kept: ContextVar[list[str] | None] = ContextVar("kept", default=None)
+
+
+@contextmanager
+def noting() -> Iterator[list[str]]:
+    """The folders that `materialize` writes in the block, for a caller that knows when they are read."""
+    found: list[str] = []
+    before = _kept.set(found)
+    try:
+        yield found
+    finally:
+        _kept.reset(before)
+
+
 def materialize(df: DataFrame, purpose: str = "stage") -> DataFrame:
     """Write once and read back. Ends the lineage and survives the loss of executors.
 
-    For results that outlive the call; jobs use `scratch`.
+    For results that outlive the call; jobs use `scratch`, callers that know the last reader `noting`
+    or `settled`.
     """
     spark = df.sparkSession
     path = new_folder(spark, purpose)
+    noted = _kept.get()
+    if noted is not None:
+        noted.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], purpose: str = "stage") -> DataFrame:
+    """What `make` returns, written; all that it wrote on the way is deleted.
+
+    Only for a `make` that hands nothing else to later readers.
+    """
+    with noting() as made:
+        found = materialize(make(), purpose)
+    *used, last = made
+    remove(spark, used)
+    outer = _kept.get()
+    if outer is not None:
+        outer.append(last)
+    return found
