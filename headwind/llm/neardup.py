@@ -14,14 +14,14 @@ Links are found without pairing up whole groups, and lose no pair that shares a
    gives links and, for every member, its distance to that pivot.
 3. Twice, members outside a bucket's largest component are compared with a member of it, drawn by
    hash. This only joins components early, so that little is left for the next step.
-4. Members of a bucket that are not yet in one component are compared with each other, but only
-   where their distances to the pivot differ by no more than the greatest distance of a link: by
-   the triangle inequality of the Jaccard distance no other pair can be linked. Pairs inside a
-   component are never made.
+4. Members of a bucket that are not yet in one component are compared with each other in blocks of
+   bounded size, but only where their distances to the pivot differ by no more than the greatest
+   distance of a link: by the triangle inequality of the Jaccard distance no other pair can be
+   linked. A pair that shares several buckets is looked at in the first of them. Pairs inside a
+   component are never looked at, and only those that may be linked become rows.
    In steps 3 and 4 a pair goes on to its full sets only if its long sketches allow a link: one bit
    of each of 2048 coordinates, of which a linked pair differs in more than the limit with a chance
-   of about 1e-9 (six standard deviations). The test is part of the join, so a bucket of texts that
-   are alike, but not enough, hands on next to nothing.
+   of about 1e-9 (six standard deviations).
 5. Components by alternating star contraction, each round written to the shared folder.
 
 Shingles are 64-bit hashes of word sequences; sets are compared on these, whole.
@@ -43,11 +43,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headwind.llm.texts import arrow_pass, lower_words, with_row_key
-from headwind.session import materialize
+from headwind.session import materialize, settled
 
 _BINS, _BANDS = 128, 32
 _TURNS = 2
 _LONG = 16  # sketches in a long sketch
+#: members of a bucket that are compared together, how many of them with all others at once, and by how
+#: many hash values small buckets are gathered
+_BLOCK, _STRIP, _SHELVES = 1024, 128, 4096
 _ROWS = _BINS // _BANDS
 _FOLD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SEEDS = np.random.default_rng(20170401).integers(1, 1 << 63, 2 * _BINS, dtype=np.uint64)
@@ -109,10 +112,15 @@ def long_bits(x: np.ndarray) -> np.ndarray:
     return np.packbits(np.concatenate(low).astype(np.uint8)).view(np.int64)
 
 
+def _most_bits(percent: int) -> int:
+    """In how many bits the long sketches of two sets of that similarity differ at most."""
+    n, p = _LONG * _BINS, (1 - percent / 100) / 2
+    return int(np.ceil(n * p + 6 * np.sqrt(n * p * (1 - p))))
+
+
 def _alike(a: str, b: str, percent: int) -> Column:
     """Whether two long sketches allow a similarity of `percent`."""
-    n, p = _LONG * _BINS, (1 - percent / 100) / 2
-    limit = int(np.ceil(n * p + 6 * np.sqrt(n * p * (1 - p))))
+    n, limit = _LONG * _BINS, _most_bits(percent)
     differ = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(n // 64)]
     return reduce(add, differ) <= limit
 
@@ -239,32 +247,64 @@ def _to_major(buckets: DataFrame, roots: DataFrame, bits: DataFrame, percent: in
     return pairs.join(left, "x").join(right, "y").filter(_alike("bits_x", "bits_y", percent)).select("x", "y")
 
 
-def _left_over(buckets: DataFrame, roots: DataFrame, bits: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
+def _pairs_in(rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a meeting's rows that are in one bucket, in different components, and may be linked.
+
+    A pair that shares several buckets comes out of the first of them only.
+    """
+    of = {c: rows.column(c).to_numpy() for c in ("id", "n", "root", "far", "key", "block", "first", "second")}
+    bits, bands = (np.asarray(rows.column(c).combine_chunks().flatten()).reshape(rows.num_rows, -1) for c in ("bits", "bands"))
+    width, limit = 1 - percent / 100 + 1e-9, _most_bits(percent)
+    order = np.argsort(of["key"], kind="stable")
+    borders = np.flatnonzero(np.diff(of["key"][order])) + 1
+    found = [np.zeros((2, 0), dtype=np.int64)]
+    for own in np.split(order, borders):
+        upper, lower = own[of["block"][own] == of["first"][own]], own[of["block"][own] == of["second"][own]]
+        for at in range(0, len(upper), _STRIP):
+            x, y = np.meshgrid(upper[at : at + _STRIP], lower, indexing="ij")
+            x, y = x.ravel(), y.ravel()
+            within = of["first"][x] == of["second"][x]
+            small, large = np.minimum(of["n"][x], of["n"][y]), np.maximum(of["n"][x], of["n"][y])
+            open_ = (of["root"][x] != of["root"][y]) & (~within | (of["id"][x] < of["id"][y]))
+            open_ &= (np.abs(of["far"][x] - of["far"][y]) <= width) & (100 * small >= percent * large)
+            x, y = x[open_], y[open_]
+            near = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64) <= limit
+            x, y = x[near], y[near]
+            shared = (bands[x] == bands[y]).argmax(1)
+            found.append(np.array([x, y])[:, bands[x, shared] == of["key"][x]])
+    x, y = np.concatenate(found, axis=1)
+    return of["id"][x], of["id"][y]
+
+
+def _left_over(buckets: DataFrame, roots: DataFrame, open_: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket's members in different components that the pivot's distances and the long
-    sketches leave open."""
-    width = F.lit(1 - percent / 100 + 1e-9)
+    sketches leave open.
+
+    The members of a large bucket are dealt to blocks, and every two blocks meet in a task of bounded
+    size; small buckets share a meeting. Pairs that are ruled out never become rows.
+    """
     to_pivot = seen.select(F.col("x").alias("pivot"), F.col("y").alias("id"), (1 - F.col("common") / F.col("all")).alias("far"))
-    rows = (
-        _split(buckets, roots)
-        .join(to_pivot, ["pivot", "id"], "left")  # the pivot itself is not there: distance 0
-        .join(bits, "id")
-        .select("key", "id", "n", "root", "major", F.coalesce("far", F.lit(0.0)).alias("far"), "bits")
-    )
-    cell = F.floor(F.col("far") / width)
-    minor = rows.filter("root <> major").select(
-        "key",
-        F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"),
-        *(F.col(c).alias(f"{c}_x") for c in ("id", "n", "root", "far", "bits")),
-    )
-    fits = 100 * F.least("n_x", "n") >= percent * F.greatest("n_x", "n")
-    once = (F.col("root") == F.col("major")) | (F.col("id_x") < F.col("id"))
-    near = F.abs(F.col("far_x") - F.col("far")) <= width
-    return (
-        minor.join(rows.withColumn("cell", cell), ["key", "cell"])
-        .filter((F.col("root_x") != F.col("root")) & once & near & fits & _alike("bits_x", "bits", percent))
-        .select(F.least("id_x", "id").alias("x"), F.greatest("id_x", "id").alias("y"))
-        .distinct()
-    )
+    rows = _split(buckets, roots).join(to_pivot, ["pivot", "id"], "left")  # the pivot itself is not there: distance 0
+    sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias("blocks"))
+    block, blocks, other = F.col("block"), F.col("blocks"), F.col("other")
+    dealt = (
+        rows.join(sizes, "key")
+        .join(open_, "id")
+        .withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        # buckets of one block are gathered by hash, about _BLOCK rows together
+        .withColumn("meeting", F.when(blocks == 1, F.pmod(F.xxhash64("key"), F.lit(_SHELVES))).otherwise(F.col("key")))
+        .select(
+            "id", "n", "root", F.coalesce("far", F.lit(0.0)).alias("far"), "bits", "bands", "key", "block",
+            F.least(block, other).alias("first"), F.greatest(block, other).alias("second"), "meeting", (blocks == 1).alias("small"),
+        )
+    )
+
+    def met(rows: pa.Table) -> pa.Table:
+        x, y = _pairs_in(rows, percent)
+        return pa.table([np.minimum(x, y), np.maximum(x, y)], names=["x", "y"])
+
+    return dealt.groupBy("small", "meeting", "first", "second").applyInArrow(met, "x long, y long")
 
 
 def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -272,6 +312,10 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     Links: 100 * intersection >= percent * union of the sets of `size`-word shingles.
     """
+    return settled(docs.sparkSession, lambda: _grouped(docs, size, percent), "neardup")
+
+
+def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     marks = materialize(sketched(docs, size), "neardup")
     key = ["n_shingles", "a", "b"]
     classes = marks.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"))
@@ -292,11 +336,13 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     # components only grow, so no other document can be in a divided bucket later on
     open_ = _split(buckets, roots).select(F.col("id").alias("doc_id")).distinct()
     bits = materialize(long_sketches(sets.join(open_, "doc_id", "left_semi")), "neardup")
+    banded_bits = bits.join(shown.select(F.col("doc_id").alias("id"), "bands"), "id")
     for turn in range(_TURNS):
         tried = compared(_to_major(buckets, roots, bits, percent, turn), sets).filter(linked).select("x", "y")
         links = links.unionByName(materialize(tried, "neardup"))
         roots = components(links)
-    rest = compared(_left_over(buckets, roots, bits, seen, percent), sets).filter(linked).select("x", "y")
+    left = materialize(_left_over(buckets, roots, banded_bits, seen, percent), "neardup")
+    rest = compared(left, sets).filter(linked).select("x", "y")
     roots = components(links.unionByName(rest))
 
     found = members.join(roots.withColumnRenamed("id", "rep"), "rep", "left")
@@ -313,7 +359,7 @@ def keep(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     null only if there is no other. Rows without words stay, but of those equal in doc_id and text one.
     """
     rows = with_row_key(docs, "neardup")
-    grouped = materialize(group(rows.select(F.col("__row").alias("doc_id"), "text"), size, percent), "neardup")
+    grouped = group(rows.select(F.col("__row").alias("doc_id"), "text"), size, percent)
     groups = grouped.select(F.col("doc_id").alias("__row"), "n_shingles", "component_id")
     blank = F.col("n_shingles") == 0
     named = groups.join(rows.select("__row", "doc_id", "text"), "__row").select(
