@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headwind.llm.texts import WORD, whole, with_row_key
-from headwind.session import materialize
+from headwind.session import materialize, settled
 
 #: words in one block
 BLOCK = 512
@@ -201,7 +201,8 @@ def apply(docs: DataFrame, seed: int = 11) -> DataFrame:
     doc_id is null, shared or its own.
     """
     rows = with_row_key(docs, "mixing")
-    drawn = mix(rows.select(F.col("__row").alias("doc_id"), "source", "text"), seed).filter("copies > 0")
+    narrow = rows.select(F.col("__row").alias("doc_id"), "source", "text")
+    drawn = settled(docs.sparkSession, lambda: mix(narrow, seed).filter("copies > 0").select("doc_id", "copies"), "mixing")
     copies = drawn.select(F.col("doc_id").alias("__row"), F.col("copies").alias("__copies"))
     each = F.explode(F.sequence(F.lit(1), F.col("__copies")))
     # the drawn rows grow with the data, so they must not be broadcast on a guess of their size
