@@ -42,7 +42,8 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 @dataclass(frozen=True)
 class Limits:
     tokens: int = 2048
-    segments: int = 256
+    #: as many as tokens: then it never binds, since a segment has one token at least
+    segments: int = 2048
     loss: int = 2048
 
 
@@ -60,7 +61,8 @@ class WordTokenizer:
     A byte-level BPE never joins a character to a single space after it, so a text with no double
     spaces and no white space but spaces and line feeds may be cut before each space. Words not seen
     before are encoded by their ranks, which are the ids of the file's own byte-level vocabulary (its
-    merges are numbered in order); all other texts are encoded whole by the tokenizer itself.
+    merges are numbered in order); all other texts, and those with an added token of the file, are
+    encoded whole by the tokenizer itself.
     """
 
     #: fixed value: how a byte-level BPE of this kind cuts a text into pieces
@@ -75,8 +77,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self._model = Tokenizer.from_file(path)
-        self._model.encode_special_tokens = True  # their strings in a text are ordinary text
         special = self._model.get_added_tokens_decoder()
+        # the tokenizer finds these in a text before all else, and so they are found on whole texts
+        self._special = tuple(t.content for t in special.values())
         byte = _bytes_of_letters()
         ranks = {
             bytes(byte[c] for c in token): i for token, i in self._model.get_vocab().items() if i not in special
@@ -92,7 +95,7 @@ class WordTokenizer:
         self._known.update((w, array("I", encode(" " + w)).tobytes()) for w in words)
 
     def __call__(self, text: str) -> np.ndarray:
-        if "  " in text or any(c in text for c in self._OTHER):
+        if "  " in text or any(c in text for c in self._OTHER) or any(s in text for s in self._special):
             return self._encode(text)
         if len(self._known) > _REMEMBER:
             self._known = {}
@@ -126,7 +129,8 @@ class Packer:
     def __init__(self, limits: Limits, cut: bool, first_id: int):
         self.limits, self.cut, self.next = limits, cut, first_id
         self.pool: list[_Item] = []
-        self.tokens, self.loss = np.zeros(2 * _POOL), np.zeros(2 * _POOL)
+        self.held = 0  # tokens of the pool
+        self.tokens, self.loss = (np.zeros(_POOL + limits.segments + 1) for _ in range(2))
         self.rows: list[tuple] = []
 
     def add(self, item: _Item) -> None:
@@ -142,7 +146,9 @@ class Packer:
         at = len(self.pool)
         self.pool.append(item)
         self.tokens[at], self.loss[at] = item.length, item.loss
-        while len(self.pool) >= _POOL:
+        self.held += item.length
+        # a pool of short items waits until it can fill a sequence, by tokens or by segments
+        while len(self.pool) >= _POOL and (self.held >= limits.tokens or len(self.pool) >= _POOL + limits.segments):
             self._fill()
 
     def flush(self) -> None:
@@ -160,6 +166,7 @@ class Packer:
 
     def _remove(self, at: int) -> _Item:
         item, last = self.pool[at], self.pool.pop()
+        self.held -= item.length
         if at < len(self.pool):
             self.pool[at] = last
             self.tokens[at], self.loss[at] = self.tokens[len(self.pool)], self.loss[len(self.pool)]
@@ -179,6 +186,7 @@ class Packer:
                     break
                 best = int(tokens.argmax())
                 piece = self._head(self.pool[best], min(room, loss_room))
+                self.held -= piece.length
                 tokens[best], loss[best] = self.pool[best].length, self.pool[best].loss
             else:
                 piece = self._remove(best)
