@@ -34,21 +34,22 @@ _NAMES = ("passw", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # whole runs, so the least length can stand in the pattern
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
-_VALUE = r"""[ \t]*(?:(?P<quote>["'`])(?P<literal>[^"'`\n]+)(?P=quote)|(?P<bare>[^\s"'`,;#(){}\[\]<>]+))"""
-_PAIR = re.compile(r"""(?P<name>[A-Za-z_][\w.\-]*)["'\]]?[ \t]*(?::=|=>|==?|:)""" + _VALUE)
+# a name is looked for once in a run of its characters, from the first letter on
+_SIGN = re.compile(r"""(?<![\w.\-])(?:(?![A-Za-z_])[\w.\-])*+(?P<name>[A-Za-z_][\w.\-]*+)["'\]]?[ \t]*(?::=|=>|==?|:)[ \t]*""")
+_QUOTED = re.compile(r"""(["'`])([^"'`\n]+)\1""")
+_BARE = re.compile(r"""[^\s"'`,;#(){}\[\]<>]+""")
 # after a bare value: what is left of a type, and the sign that makes the value a type or a name
-_ASSIGNED = re.compile(r"""(?:[ \t]*(?:\[[^\[\]\n=]*(?:\[[^\[\]\n=]*\][^\[\]\n=]*)*\]|<[^<>\n=]*>|\|[ \t]*[\w.]+))*[ \t]*(?::=|=(?![=>]))""")
-_ASSIGNED_VALUE = re.compile(_VALUE)
-# a name and its sign at the start of a bare value, which is read again from there if it is no longer
-# than this, so that a long run of signs does not take time by its square
+_ASSIGNED = re.compile(r"""(?:[ \t]*(?:\[[^\[\]\n=]*(?:\[[^\[\]\n=]*\][^\[\]\n=]*)*\]|<[^<>\n=]*>|\|[ \t]*[\w.]+))*[ \t]*(?::=|=(?![=>]))[ \t]*""")
+# a name and its sign at the start of a bare value, which is read again from there
 _NAMED = re.compile(r"[A-Za-z_][\w.\-]*[:=]")
-_READ_AGAIN = 512
+# a call or a lookup in place of a value: what it gives is not in the text
+_CALL = re.compile(r"[ \t]*[(\[]")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
-_REFERENCE = re.compile(r"\$?\{?([A-Za-z_][\w.\-]*)\}?$")
+_REFERENCE = re.compile(r"\$?\{?([A-Za-z_][\w.\-]*)\}?")
 #: fixed values: parts of names by how sensitive they are
 _STRONG = frozenset("password passwd pwd passphrase secret token apikey credential credentials privatekey bearer".split())
 _WEAK = frozenset("key auth private access signing encryption session cookie salt signature client master".split())
-_PLACEHOLDER = re.compile(r"(?i)^(true|false|null|none|undefined|example.*|sample.*|changeme.*|your[_-].*|x{3,}|\*{3,}|\.{3,})$")
+_PLACEHOLDER = re.compile(r"(?i)(?:true|false|null|none|undefined|x{3,}|\*{3,}|\.{3,})$|example|sample|changeme|your[_-]")
 #: least sum of the name's and the literal's scores
 THRESHOLD = 3.5
 
@@ -73,35 +74,86 @@ def name_score(name: str) -> float:
     return min(3.0, strong + len(_WEAK & set(parts)))
 
 
-def literal_score(value: str) -> float:
-    """Up to 3: length, mixed kinds of characters, entropy. Placeholders, prose and urls score 0."""
-    if len(value) < 8 or any(c.isspace() for c in value) or "://" in value or _PLACEHOLDER.match(value):
-        return 0.0
-    kinds = sum(any(f(c) for c in value) for f in (str.islower, str.isupper, str.isdigit)) + (not value.isalnum())
-    n = len(value)
-    entropy = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
-    return min(1.0, n / 16) + (kinds >= 2) * 0.5 + (kinds >= 3) * 0.5 + min(1.0, entropy / 4)
-
-
-def pairs(text: str) -> list[tuple[str, str, str, int, int]]:
-    """(name, kind of value, value, start, end). `a: b = value` gives the value to a, to which b may be a
-    type, and to b, to which a may be a label."""
+def literal_scores(text: str, spans: list[tuple[int, int]]) -> dict[tuple[int, int], float]:
+    """Up to 3 for each (start, end): length, mixed kinds of characters, entropy. Placeholders, prose and
+    urls score 0.
+
+    Values that end at one place, of which each holds the next, are measured together from the last to
+    the first, so that a long chain of names and signs takes no time by its square.
+    """
+    by_end: dict[int, list[int]] = {}
+    for start, end in set(spans):
+        by_end.setdefault(end, []).append(start)
+    out = {}
+    for end, starts in by_end.items():
+        n_of: Counter[str] = Counter()
+        kinds, plain, url, done = set(), True, False, end
+        for start in sorted(starts, reverse=True):
+            more = text[start:done]
+            n_of.update(more)
+            for c in set(more):
+                kinds.add("lower" if c.islower() else "upper" if c.isupper() else "digit" if c.isdigit() else "")
+                plain &= c.isalnum()
+            url = url or text.find("://", start, min(end, done + 2)) >= 0
+            done, n = start, end - start
+            if n < 8 or url or any(c.isspace() for c in n_of) or _PLACEHOLDER.match(text, start, end):
+                out[start, end] = 0.0
+                continue
+            mixed = len(kinds - {""}) + (not plain)
+            entropy = -sum(k / n * math.log2(k / n) for k in n_of.values())
+            out[start, end] = min(1.0, n / 16) + (mixed >= 2) * 0.5 + (mixed >= 3) * 0.5 + min(1.0, entropy / 4)
+    return out
+
+
+def pairs(text: str) -> list[tuple[str, str, int, int]]:
+    """(name, kind of value, start, end). `a: b = value` gives the value to a, to which b may be a type, and
+    to b, to which a may be a label. A bare value that is called, as in `f(x)`, is none.
+
+    Each place of the text is read a bounded number of times: where a bare value ends is known
+    beforehand for all places within it.
+    """
     found, at = [], 0
-    while m := _PAIR.search(text, at):
-        at = m.end()
-        kind = "literal" if m["literal"] is not None else "bare"
-        found.append((m["name"], kind, m[kind], m.start(kind), m.end(kind)))
-        sign = _ASSIGNED.match(text, at) if kind == "bare" else None
-        value = _ASSIGNED_VALUE.match(text, sign.end()) if sign else None
-        if value:
-            own = "literal" if value["literal"] is not None else "bare"
-            found.append((m["name"], own, value[own], value.start(own), value.end(own)))
-        if value or (kind == "bare" and m.end(kind) - m.start(kind) <= _READ_AGAIN and _NAMED.match(text, m.start(kind))):
-            at = m.start("bare")
+    runs = iter(_BARE.finditer(text))
+    run = next(runs, None)
+
+    def value_at(place: int) -> tuple[str, int, int] | None:
+        """The quoted or bare value that starts there; places only grow."""
+        nonlocal run
+        if quoted := _QUOTED.match(text, place):
+            return ("literal", *quoted.span(2))
+        while run and run.end() <= place:
+            run = next(runs, None)
+        return ("bare", place, run.end()) if run and run.start() <= place else None
+
+    while m := _SIGN.search(text, at):
+        value = value_at(m.end())
+        if not value:
+            at = m.end()
+            continue
+        kind, start, end = value
+        again = kind == "bare" and _NAMED.match(text, start, end)
+        at = end + (kind == "literal")
+        if kind == "bare" and not again and _CALL.match(text, end) and not _ASSIGNED.match(text, end):
+            continue
+        found.append((m["name"], *value))
+        sign = _ASSIGNED.match(text, end) if kind == "bare" else None
+        if sign and (typed := value_at_later(text, sign.end())):
+            found.append((m["name"], *typed))
+            at = start
+        elif again:
+            at = start
     return found
 
 
-def resolved(found: list[tuple[str, str, str, int, int]]) -> list[int]:
+def value_at_later(text: str, place: int) -> tuple[str, int, int] | None:
+    """As within `pairs`, for a place that will be passed again."""
+    if quoted := _QUOTED.match(text, place):
+        return ("literal", *quoted.span(2))
+    bare = _BARE.match(text, place)
+    return ("bare", *bare.span()) if bare else None
+
+
+def resolved(text: str, found: list[tuple[str, str, int, int]]) -> list[int]:
     """For each pair, the pair whose value it stands for: names are followed to the last definition
     before their use or, without one, to the first after it. A circle ends where it closes."""
     defined: dict[str, list[int]] = {}
@@ -113,8 +165,8 @@ def resolved(found: list[tuple[str, str, str, int, int]]) -> list[int]:
         while stands[at] is None and at not in on:
             path.append(at)
             on.add(at)
-            _, kind, value, *_ = found[at]
-            ref = _REFERENCE.match(value) if kind == "bare" else None
+            _, kind, start, end = found[at]
+            ref = _REFERENCE.fullmatch(text, start, end) if kind == "bare" else None
             places = defined.get(ref[1], []) if ref else []
             before = bisect_left(places, at)
             after = before + (before < len(places) and places[before] == at)
@@ -132,16 +184,14 @@ def literal_spans(text: str) -> list[Span]:
     """Literals whose own shape and whose names, direct or by way of other names, look like a secret."""
     if "=" not in text and ":" not in text:
         return []
-    best: dict[tuple[int, int], tuple[float, str]] = {}
+    names: dict[tuple[int, int], float] = {}
     found = pairs(text)
-    for (name, *_), i in zip(found, resolved(found), strict=True):
-        _, _, value, start, end = found[i]
-        score = name_score(name)
-        if score > best.get((start, end), (0.0, ""))[0]:
-            best[start, end] = (score, value)
-    return sorted(
-        (s, "literal", e) for (s, e), (score, value) in best.items() if (own := literal_score(value)) and score + own >= THRESHOLD
-    )
+    for (name, *_), i in zip(found, resolved(text, found), strict=True):
+        _, _, *span = found[i]
+        names[tuple(span)] = max(name_score(name), names.get(tuple(span), 0.0))
+    named = {span: score for span, score in names.items() if score}
+    own = literal_scores(text, list(named))
+    return sorted((s, "literal", e) for (s, e), score in named.items() if own[s, e] and score + own[s, e] >= THRESHOLD)
 
 
 def spans_of(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
