@@ -4,9 +4,9 @@ Every paragraph (line) is hashed to a wide vector of integers, and a text's fing
 its paragraphs' vectors modulo powers of two. So the order of paragraphs does not matter, and a
 paragraph is inserted or deleted by adding or subtracting its vector. A vector has two parts:
 
-- identity: 16 lanes modulo 2^32, hashed from the whole paragraph; equal sums mean equal multisets
-  of paragraphs but for a chance of about 2^-32 for each lane.
-- likeness: each run of up to 8 words of the paragraph adds a hashed bit to each of 126 lanes, kept
+- identity: 16 lanes modulo 2^32, each with a hash of its own of the whole paragraph; equal sums mean
+  equal multisets of paragraphs but for a chance of about 2^-32 for each lane.
+- likeness: each run of words of the paragraph, cut by content, adds a hashed bit to each of 126 lanes, kept
   modulo 2^21, three to a number modulo 2^62. The centred lanes of two texts have a cosine near that
   of their multisets of runs, with an error of about 0.09; it is cut off to 0..1. A text of more than
   a million runs wraps its lanes, which only blurs its likeness.
@@ -28,8 +28,9 @@ from headwind.llm.texts import WORD, whole
 from headwind.session import materialize
 
 _IDENTITY, _HASHES, _STEPS, _WIDTH = 16, 2, 21, 21
-#: up to 8 words of one line
-_RUN = rf"{WORD}+(?:[\x20\x09\x0B-\x0D]++{WORD}+){{0,7}}"
+#: up to 8 words of one line, ended by the first word of at most three characters: where a run ends
+#: depends on the words, not on their places, so a word that comes in changes the run around it only
+_RUN = rf"(?:{WORD[:-1]}{{4,}}+[\x20\x09\x0B-\x0D]++){{0,7}}{WORD}+"
 _WORD32, _WORD62 = (1 << 32) - 1, (1 << 62) - 1
 #: the lowest bit of each of the three lanes in a number
 _LANES = sum(1 << (_WIDTH * k) for k in range(3))
@@ -39,15 +40,17 @@ def _big(n: int) -> Column:
     return F.lit(n).cast("long")
 
 
+# The lane comes first in every hash: it seeds that of the paragraph. The other way round all lanes would
+# be made from one number of 64 bits, and paragraphs that share it would agree in all of them.
 # lambdas of higher-order functions may have no other parameters, so each is made by a function
 
 
 def _seeded(i: int) -> Callable[[Column], Column]:
-    return lambda run: F.xxhash64(run, F.lit(i))
+    return lambda run: F.xxhash64(F.lit(i), run)
 
 
 def _plus_hash(i: int) -> Callable[[Column, Column], Column]:
-    return lambda total, p: (total + F.xxhash64(p, F.lit(i)).bitwiseAND(_big(_WORD32))).bitwiseAND(_big(_WORD32))
+    return lambda total, p: (total + F.xxhash64(F.lit(i), p).bitwiseAND(_big(_WORD32))).bitwiseAND(_big(_WORD32))
 
 
 def _plus_bits(s: int) -> Callable[[Column, Column], Column]:
