@@ -321,3 +321,133 @@ def test_classifiers_on_held_out_rows(spark):
         assert np.mean([p == t for p, t in held]) > 0.95
     kept = {r["doc_id"] for r in rules.judge(docs, labels).filter("kept").collect()}
     assert not kept & set(np.flatnonzero(bad).tolist()) and len(kept) >= 0.95 * (~bad).sum()
+
+
+def test_special_strings_get_the_ids_of_the_file(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> y  z", text(1)]
+    for r in packing.pack_documents(frame(spark, texts), tokenizer_path()).collect():
+        ids = [*library.encode(texts[r.doc_id], add_special_tokens=False).ids, 1]
+        assert (r.doc_tokens, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+
+
+def test_many_empty_documents_are_packed_without_padding(spark):
+    docs = frame(spark, [None, ""] * 2500).coalesce(1)
+    got = Counter(r.sequence_id for r in packing.pack_documents(docs, tokenizer_path()).collect())
+    assert sorted(got.values()) == [5000 - 2 * 2048, 2048, 2048]
+
+
+def test_each_kind_of_oddity_is_rejected_alone(spark):
+    rng = np.random.default_rng(5)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    vocabulary = ["".join(rng.choice(letters, int(rng.integers(2, 10)))) for _ in range(3000)]
+
+    def prose(n=200):
+        return ". ".join(" ".join(rng.choice(vocabulary, 10)).capitalize() for _ in range(n // 10)) + "."
+
+    odd = [
+        prose().upper(),
+        " ".join(str(rng.integers(10**8, 10**9)) for _ in range(300)),
+        " ".join("".join(rng.choice(letters, 60)) for _ in range(200)),
+        "\n".join(["the same line of nine plain words once more"] * 40) + "\n" + prose(800),
+        " ".join("".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 5000, 30)) for _ in range(200)),
+    ]
+    good, bad, more = [prose(int(rng.integers(80, 400))) for _ in range(400)], [prose() + " # $ |" * 60 for _ in range(40)], [prose() for _ in range(50)]
+    docs = frame(spark, good + bad + odd + more)
+    marks = spark.createDataFrame([(i, int(i < 400), 0) for i in range(440)], LABELS)
+    kept = {r.doc_id: r.kept for r in rules.judge(docs, marks).collect()}
+    assert not any(kept[i] for i in range(400, 445))
+    assert sum(kept[i] for i in range(400)) >= 396 and sum(kept[i] for i in range(445, 495)) >= 49
+    assert {r.doc_id for r in rules.keep(docs, marks).collect()} == {i for i in kept if kept[i]}
+
+
+def test_forest_paths_equal_a_walk_by_hand():
+    rng = np.random.default_rng(2)
+    shape = rng.random((300, 16))
+    forest = rules.grow(shape, 5, 64, 1)
+    x = forest.scale.features(shape[:20])
+    for i, row in enumerate(x):
+        total = 0.0
+        for at in forest.roots:
+            while forest.feature[at] >= 0:
+                at = forest.child[at] + (row[forest.feature[at]] >= forest.cut[at])
+            total += forest.path[at]
+        assert forest.score(shape[i : i + 1])[0] == pytest.approx(2 ** (-total / 5 / forest.usual))
+    assert forest.score(shape + 9).min() > forest.score(shape).max()
+
+
+@pytest.mark.parametrize("length", [14, 700, 70_000])
+def test_values_of_any_length_after_a_label(length):
+    key = ("aB3x9Q" * length)[:length]
+    line = f"export: client_private_key={key}"
+    assert (27, "literal", 27 + length) in secrets.spans_of(line)[0]
+    assert key not in secrets.redacted(line)
+
+
+def test_a_call_is_no_secret():
+    assert secrets.spans_of("client_secret_key = os.getenv('SOME_NAME')")[0] == []
+    assert secrets.spans_of("client_secret_key = settings[0]")[0] == []
+
+
+def test_literal_scores_equal_each_value_by_itself():
+    import math
+
+    line = "a=bC:d3-EF=Gh_9k:xx://yy zz:0123456789 null example1234567"
+    spans = [(s, e) for s in range(len(line)) for e in (24, 38, 43, len(line)) if e > s]
+    got = secrets.literal_scores(line, spans)
+    for s, e in spans:
+        v = line[s:e]
+        want = 0.0
+        if len(v) >= 8 and not any(c.isspace() for c in v) and "://" not in v and not secrets._PLACEHOLDER.match(v):
+            kinds = sum(any(f(c) for c in v) for f in (str.islower, str.isupper, str.isdigit)) + (not v.isalnum())
+            entropy = -sum(k / len(v) * math.log2(k / len(v)) for k in Counter(v).values())
+            want = min(1.0, len(v) / 16) + (kinds >= 2) * 0.5 + (kinds >= 3) * 0.5 + min(1.0, entropy / 4)
+        assert got[s, e] == pytest.approx(want)
+
+
+def test_long_chains_of_names_and_signs_are_read_in_time():
+    import time
+
+    began = time.time()
+    for unit in ("token:", "private_key=", "a = b : ", "a1é", "x"):
+        secrets.spans_of(unit * 30_000)
+    assert time.time() - began < 20
+
+
+def test_lanes_of_a_fingerprint_are_independent(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(f"paragraph {i}",) for i in range(400)], "text string")
+    got = np.array([r[0] for r in multiset.with_fingerprint(rows, "text", "f").select("f.identity").collect()], dtype=float)
+    off = np.corrcoef(got.T) - np.eye(16)
+    assert np.abs(off).max() < 0.25
+    # Spark chains the hashes of its arguments: with the lane last, every lane is a function of one number
+    one = rows.select(F.xxhash64("text", F.lit(1)).alias("last"), F.xxhash64(F.lit(1), "text").alias("first")).distinct()
+    assert one.where("last = first").isEmpty()
+
+
+def test_an_inserted_word_leaves_texts_alike(spark):
+    rng = np.random.default_rng(8)
+    words = [["an", "the", "of", "plain", "longer", "expression", "sentence"][int(i)] + str(int(k)) * (int(i) > 2) for i, k in rng.integers(0, 7, (300, 2))]
+    docs = frame(spark, [" ".join(words), "inserted " + " ".join(words)])
+    got = {r.doc_id: r.near_next for r in multiset.fingerprints(docs).collect()}
+    assert min(got.values()) > 0.9
+
+
+def test_fingerprint_query_equals_brute_force(spark, odd):
+    import hashlib
+
+    docs = {r.doc_id: r.text or "" for r in odd.collect() if r.doc_id not in (None, 8)}
+    table = odd.where("doc_id is not null and doc_id <> 8")
+    order = sorted(docs, reverse=True)
+    got = {r.doc_id: r for r in multiset.fingerprints(table).collect()}
+    for i, key in enumerate(order):
+        own, after = docs[key], docs[order[(i + 1) % len(order)]]
+        half = len(own) // 2
+        edited = own[: len(own) - half] + after[:half]
+        assert got[key].n_chars == len(own)
+        assert got[key].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert (got[key].fingerprint == got[key].edited_fingerprint) == (sorted(own.split("\n")) == sorted(edited.split("\n")))
+        assert (got[key].near_next == 1.0) or sorted(own.split("\n")) != sorted(after.split("\n"))
