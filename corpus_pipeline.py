@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from headwind.llm import mixing, neardup, packing, rules, secrets
 from headwind.llm.texts import table, tokenizer_path
-from headwind.session import materialize
+from headwind.session import materialize, noting, remove
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -51,8 +51,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each result is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over `documents`; each result is written and read again, and what the stage before it
+    left is deleted then."""
+    docs, used = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with noting() as made:
+            docs = materialize(stage(spark, docs, sf_dir), name)
+        *on_the_way, result = made
+        remove(spark, [*used, *on_the_way])
+        used = [result]
     return STAGES[-1][1](spark, docs, sf_dir)
