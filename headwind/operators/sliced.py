@@ -4,32 +4,89 @@ A plain window over a key sorts that whole key in one task. Here every key is cu
 along its order (an hour of time, a run of sequence numbers). Rows are sorted inside a slice
 only; what earlier slices hand over is a few values per slice, computed from one small row per
 (key, slice). The result equals the plain window exactly.
+
+Where a slice may be hot itself (one hour of a feed with half of all rows, or very many rows of one
+instant), `rows` divides it further, at borders in the whole order, time and tie-breakers. They are
+drawn from a small hashed sample of the rows, so wherever they fall, only the sizes of the pieces
+depend on it, never the result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _KEY, _SLICE = "__key", "__slice"
 
+Stage = Callable[[DataFrame], DataFrame]
+
 
 def time_slice(ts: Column, width_s: int) -> Column:
     return F.floor(F.unix_seconds(ts) / width_s)
 
 
-def _cut(df: DataFrame, by: Sequence[str], slice_of: Column) -> DataFrame:
+#: sampled rows between two borders
+_BETWEEN = 32
+
+
+def borders(cut: DataFrame, order: Sequence[Column], rows: int) -> DataFrame:
+    """(key, slice, borders): for each slice of more than about `rows` rows, where to divide it.
+
+    Rows enter the sample by the hash of their place in the order, one in `rows / 32`; a slice's share of
+    it is gathered and every 32nd place is a border. Slices that are small have no row here.
+    """
+    place = F.struct(*order)
+    share = F.pmod(F.xxhash64(place, F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
+    return (
+        cut.where(share < _BETWEEN / rows)
+        .groupBy(_KEY, _SLICE)
+        .agg(F.sort_array(F.collect_list(place)).alias("__drawn"))
+        .where(F.size("__drawn") > _BETWEEN)
+        .select(
+            _KEY,
+            _SLICE,
+            F.transform(
+                F.sequence(F.lit(_BETWEEN), F.size("__drawn") - 1, F.lit(_BETWEEN)), lambda i: F.get("__drawn", i)
+            ).alias("__borders"),
+        )
+    )
+
+
+def _cut(
+    df: DataFrame, by: Sequence[str], slice_of: Column, order: Sequence[Column], rows: int | None, stage: Stage | None
+) -> DataFrame:
     # a struct is never null itself, so null keys keep matching each other in the joins below
-    return df.withColumn(_KEY, F.struct(*by)).withColumn(_SLICE, slice_of)
+    cut = df.withColumn(_KEY, F.struct(*by)).withColumn(_SLICE, slice_of)
+    if not rows:
+        return cut
+    found = borders(cut, order, rows)
+    # few rows; staged, Spark knows how few and moves no row of the large side for the join
+    found = stage(found) if stage else found
+    place = F.struct(*order)
+    passed = F.when(F.isnull("__borders"), 0).otherwise(F.size(F.filter("__borders", lambda b: b <= place)))
+    return (
+        cut.join(found, [_KEY, _SLICE], "left")
+        .withColumn(_SLICE, F.struct(F.col(_SLICE).alias("slice"), passed.alias("piece")))
+        .drop("__borders")
+    )
 
 
 def numbered(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], slice_of: Column, out: str
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[Column],
+    slice_of: Column,
+    out: str,
+    rows: int | None = None,
+    stage: Stage | None = None,
 ) -> DataFrame:
-    """`row_number()` over `by`, ordered by `order`. `slice_of` must never decrease in `order`."""
-    cut = _cut(df, by, slice_of)
+    """`row_number()` over `by`, ordered by `order`. `slice_of` must never decrease in `order`.
+
+    With `rows`, slices of more rows than that are divided; `order` is rising then.
+    """
+    cut = _cut(df, by, slice_of, order, rows, stage)
     earlier = (
         Window.partitionBy(_KEY).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -56,16 +113,19 @@ def earlier_row(
     value: Column,
     out: str,
     n: int = 1,
+    rows: int | None = None,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """`lag(value, n)` over `by`, ordered by `order`. `slice_of` must never decrease in `order`.
 
+    With `rows`, slices of more rows than that are divided; `order` is rising then.
     A slice hands over its last `n` values, so a slice needs at most the tails of the `n` slices
     before it.
     """
     inside = Window.partitionBy(_KEY, _SLICE).orderBy(*order)
     whole = Window.partitionBy(_KEY, _SLICE)
     ranked = (
-        _cut(df, by, slice_of)
+        _cut(df, by, slice_of, order, rows, stage)
         .withColumn("__value", F.struct(value.alias("v")))
         .withColumn("__rank", F.row_number().over(inside))
         .withColumn("__size", F.count(F.lit(1)).over(whole))

@@ -4,8 +4,10 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from headwind.operators import sliced
 from headwind.operators.latest import last_per_key
 from headwind.operators.sliced import earlier_row, numbered, time_slice
 from headwind.operators.timeline import asof_backward, inside_any_interval
@@ -135,3 +137,34 @@ def test_last_per_key_is_deterministic_on_ties(spark):
     )
     got = {r.k: r.v for r in last_per_key(df, ["k"], [F.col("o")], ["v"]).collect()}
     assert got == {"a": "z", "b": None}
+
+
+def hot_rows(spark, n=6000):
+    """Half of all rows in one hour of one key, most of them at one instant."""
+    k = F.col("id")
+    hot = k % 2 == 0
+    at = F.when(hot & (k % 8 != 0), 7200).when(hot, 7200 + k % 3600).otherwise(k * 37 % 400_000)
+    return spark.range(n).select(
+        F.when(hot, "a").otherwise(F.when(k % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("k"), (k % 7).cast("string")))).alias("key"),
+        F.timestamp_seconds(at).alias("ts"),
+        k.alias("event"),
+    )
+
+
+def test_hot_slices_are_divided_and_give_the_same_rows(spark):
+    df, order = hot_rows(spark), [F.col("ts"), F.col("event")]
+    hour = sliced.time_slice(F.col("ts"), 3600)
+    plain = Window.partitionBy("key").orderBy(*order)
+    want = df.select("event", F.row_number().over(plain).alias("n"), F.lag("event", 2).over(plain).alias("before"))
+    got = sliced.numbered(df, ["key"], order, hour, "n", rows=200)
+    got = sliced.earlier_row(got, ["key"], order, hour, F.col("event"), "before", 2, rows=200).select("event", "n", "before")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_pieces_of_a_hot_slice_are_even(spark):
+    df, order = hot_rows(spark, 40_000), [F.col("ts"), F.col("event")]
+    cut = sliced._cut(df, ["key"], sliced.time_slice(F.col("ts"), 3600), order, 1000, None)
+    sizes = sorted(r["count"] for r in cut.where("key = 'a'").groupBy(sliced._SLICE).count().collect())
+    assert sum(sizes) == 20_000 and len(sizes) >= 15
+    assert sizes[-1] <= 1.75 * sizes[len(sizes) // 2]
+    assert sliced._cut(df.limit(0), ["key"], sliced.time_slice(F.col("ts"), 3600), order, 1000, None).count() == 0
