@@ -202,7 +202,7 @@ def relabel(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS) -> l
                 lake.replace_parts(observed_rates(outcomes, rules, seen), "gold", "stop_arrivals", "service_date", days)
                 metrics.append(seen.get)
                 fresh = lake.read(spark, "gold", "stop_arrivals").where(F.col("service_date").isin(days))
-                lake.replace_parts(hourly_delay(fresh, settings), "gold", "route_delay_hourly", "service_date", days)
+                lake.replace_parts(hourly_delay(fresh, settings, sketches=True), "gold", "route_delay_hourly", "service_date", days)
             if every:
                 due.write.mode("overwrite").parquet(f"{lake.path('gold', 'label_batches')}/batch={number}")
 

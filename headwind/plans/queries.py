@@ -914,6 +914,28 @@ def hot_slice_order(v: Views) -> DataFrame:
     return rows.select("event_id", "event_type", bigint("place"), "third_before")
 
 
+@staged
+def sketch_quantiles(v: Views) -> DataFrame:
+    """Quantiles by route from the hourly sketches, held against the ranks they really have."""
+    hourly = materialize(labels.hourly_delay(v.arr, SETTINGS, sketches=True), "hourly")
+    share = {"low": 0.1, "middle": 0.5, "high": 0.9}
+    found = labels.delay_quantiles(hourly, ["route_id"], share)
+    known = v.arr.where("is_observed").select("route_id", "delay_s")
+    ranked = known.join(found, "route_id").groupBy("route_id", "n_arrivals").agg(
+        *[F.count_if(F.col("delay_s") < F.col(c)).alias(f"{c}_under") for c in share],
+        *[F.count_if(F.col("delay_s") <= F.col(c)).alias(f"{c}_upto") for c in share],
+    )
+    error = 0.025 * F.col("n_arrivals") + 1
+    return ranked.select(
+        "route_id",
+        "n_arrivals",
+        *[
+            ((F.col(f"{c}_under") <= q * F.col("n_arrivals") + error) & (F.col(f"{c}_upto") >= q * F.col("n_arrivals") - error)).alias(c)
+            for c, q in share.items()
+        ],
+    )
+
+
 # ---- the whole dataflow ----
 
 

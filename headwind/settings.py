@@ -21,6 +21,8 @@ class Settings:
     # labels
     label_max_lead_s: int = 120
     late_after_s: int = 300
+    # of the quantile sketches in the hourly report; larger is more exact
+    sketch_size: int = 200
     max_abs_delay_s: int = 7200
     area: Area = Area()
     rail_route_types: tuple[int, ...] = (0, 1, 2)

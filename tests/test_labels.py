@@ -161,3 +161,17 @@ def test_rules_as_metrics_of_a_running_query(spark):
     rows = label(spark, update(60, 30), update(600, 30, trip="t2"))
     assert observed_rates(rows, outcome_rules(), seen).count() == 2
     assert seen.get == {"n_rows": 2, "label_is_observed": 1, "delay_in_bounds": 2}
+
+
+def test_sketches_merge_to_quantiles_of_any_level(spark):
+    from headwind.operators.labels import delay_quantiles, hourly_delay
+
+    outcomes = spark.range(20_000).selectExpr(
+        "true AS is_observed", "date_add(DATE'2026-10-01', CAST(id % 10 AS INT)) AS service_date", "'r' || id % 3 AS route_id",
+        "'x' AS route_short_name", "'bus' AS mode", "timestamp_seconds(1790000000 + id * 60) AS scheduled_arrival_ts", "id * 7919 % 20000 AS delay_s",
+    )
+    hourly = hourly_delay(outcomes, sketches=True)
+    for by in (["route_id"], ["service_date", "mode"], []):
+        for r in delay_quantiles(hourly, by, {"q1": 0.25, "q2": 0.5}).collect():
+            assert abs(r.q1 - 5000) < 700 and abs(r.q2 - 10_000) < 700
+    assert delay_quantiles(hourly.limit(0), ["route_id"], {"q": 0.5}).count() == 0
