@@ -90,18 +90,18 @@ def noting() -> Iterator[list[str]]:
         _kept.reset(before)
 
 
-def materialize(df: DataFrame, purpose: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, purpose: str = "stage", **options: object) -> DataFrame:
     """Write once and read back. Ends the lineage and survives the loss of executors.
 
     For results that outlive the call; jobs use `scratch`, callers that know the last reader `noting`
-    or `settled`.
+    or `settled`. `options` are the writer's, with `__` for dots.
     """
     spark = df.sparkSession
     path = new_folder(spark, purpose)
     noted = _kept.get()
     if noted is not None:
         noted.append(path)
-    df.write.parquet(path)
+    df.write.options(**{k.replace("__", "."): v for k, v in options.items()}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -118,3 +118,20 @@ def settled(spark: SparkSession, make: Callable[[], DataFrame], purpose: str = "
     if outer is not None:
         outer.append(last)
     return found
+
+
+_LET_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def letting_go(spark: SparkSession) -> Iterator[None]:
+    """Within the block, the shuffle files of a query are deleted when it ends.
+
+    For loops of written stages, whose shuffles nobody reads again.
+    """
+    before = spark.conf.get(_LET_GO)
+    spark.conf.set(_LET_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_LET_GO, before)
