@@ -14,8 +14,8 @@ from headwind.functions.clock import epoch, utc_day
 from headwind.functions.columns import mode_of
 from headwind.operators.clean import alert_history, merged_alerts, with_alert_bucket
 from headwind.operators.evaluate import Split, error_metrics, result_rows, time_split
-from headwind.operators.features import live_examples, training_examples
-from headwind.operators.labels import hourly_delay, last_prediction_label
+from headwind.operators.features import daily_delays, live_examples, training_examples
+from headwind.operators.labels import hourly_delay, known_outcomes, last_prediction_label
 from headwind.operators.models import (
     BASELINES,
     fill_features,
@@ -203,6 +203,7 @@ def relabel(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS) -> l
                 metrics.append(seen.get)
                 fresh = lake.read(spark, "gold", "stop_arrivals").where(F.col("service_date").isin(days))
                 lake.replace_parts(hourly_delay(fresh, settings, sketches=True), "gold", "route_delay_hourly", "service_date", days)
+                add_daily_delays(spark, lake, days, settings)
             if every:
                 due.write.mode("overwrite").parquet(f"{lake.path('gold', 'label_batches')}/batch={number}")
 
@@ -211,20 +212,49 @@ def relabel(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS) -> l
     return rule_counts("gold.stop_arrivals", rules, metrics)
 
 
+DAILY = "delay_daily_sums"
+
+
+def add_daily_delays(spark: SparkSession, lake: Lake, days: list[date], settings: Settings = DEFAULTS) -> None:
+    """Refresh the daily sums of delays of these service dates from their labels.
+
+    A lake without a finished table of them gets the sums of all its labels.
+    """
+    labels = lake.read(spark, "gold", "stop_arrivals")
+    if not lake.exists(spark, "gold", f"{DAILY}/_SUCCESS"):
+        sums = daily_delays(known_outcomes(labels), settings)
+        lake.overwrite(sums.hint("rebalance", F.col("service_date")), "gold", DAILY, "service_date")
+        return
+    due = labels.where(F.col("service_date").isin(days))
+    lake.replace_parts(daily_delays(known_outcomes(due), settings), "gold", DAILY, "service_date", days)
+
+
+def stored_daily_delays(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """The daily sums of delays, or nothing where no refresh has finished them yet."""
+    return lake.read(spark, "gold", DAILY) if lake.exists(spark, "gold", f"{DAILY}/_SUCCESS") else None
+
+
 def build_training_set(
     spark: SparkSession, lake: Lake, first: str = "", last: str = "", settings: Settings = DEFAULTS
 ) -> tuple[date, date]:
-    """Examples of a range of dates, read with the days of history they need, replaced by date."""
+    """Examples of a range of dates, replaced by date.
+
+    The trailing means come from stored daily sums. Outcomes of the days before the range are read
+    only to find the vehicle ahead.
+    """
     outcomes = lake.read(spark, "gold", "stop_arrivals")
     start, end = day_bounds(outcomes, first, last)
+    daily, oldest = stored_daily_delays(spark, lake), start - timedelta(days=settings.history_days)
     with scratch(spark) as stage:
         examples = training_examples(
-            between_days(outcomes, start - timedelta(days=settings.history_days), end),
+            between_days(outcomes, oldest, end),
             between_days(lake.read(spark, "silver", "stop_updates"), start, end),
             lake.read(spark, "silver", "scheduled_stops"),
             lake.read(spark, "silver", "alerts"),
             settings,
             stage=stage,
+            daily=None if daily is None else between_days(daily, oldest, end),
+            first=start,
         )
         lake.replace_days(examples, "gold", "training_set", start, end)
     return start, end
@@ -312,6 +342,7 @@ def score(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS):
     today = utc_day(epoch(now_ts))
     updates = since_days(everything, "service_date", today, 1)
     outcomes = lake.read(spark, "gold", "stop_arrivals")
+    daily = stored_daily_delays(spark, lake)
     model, version = load_champion(spark, lake)
     with scratch(spark) as stage:
         examples = live_examples(
@@ -322,6 +353,7 @@ def score(spark: SparkSession, lake: Lake, settings: Settings = DEFAULTS):
             now_ts,
             settings,
             stage=stage,
+            daily=None if daily is None else since_days(daily, "service_date", today, settings.history_days + 1),
         )
         if model is not None:
             # rows with incomplete inputs stay, for the baselines, without a model value

@@ -7,9 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from headwind.operators.clean import alert_history
+from headwind.operators.features import daily_delays
+from headwind.operators.labels import known_outcomes
 from headwind.plans import dataflow
 from headwind.settings import DEFAULTS
 from headwind.sources.sinks import Lake, drop_empty_folders
+from headwind.sources.sinks import remove as sinks_remove
 from headwind.sources.snapshots import bronze_schema
 from headwind.streaming import jobs
 from tests.test_dataflow import START, static_files
@@ -211,3 +214,57 @@ def test_only_the_dates_of_new_updates_are_labelled_again(spark, place, monkeypa
     assert again[5] == made[5] and again[6] > made[6] and labels.count() == 5
     noted = lake.read(spark, "gold", "label_batches").select("batch", F.dayofmonth("service_date").alias("d")).collect()
     assert sorted(map(tuple, noted)) == [(0, 5), (0, 6), (1, 6)]
+
+
+def sums_now(spark, lake):
+    found = lake.read(spark, "gold", dataflow.DAILY)
+    return sorted(map(str, found.select(sorted(found.columns)).collect()))
+
+
+def sums_anew(spark, lake):
+    made = daily_delays(known_outcomes(lake.read(spark, "gold", "stop_arrivals")), SETTINGS)
+    return sorted(map(str, made.select(sorted(made.columns)).collect()))
+
+
+def means_of(spark, lake):
+    columns = ("service_date", "trip_id", "anchor_stop_sequence", "horizon", "hist_avg_delay_s", "hist_n")
+    return sorted(map(str, lake.read(spark, "gold", "training_set").select(*columns).collect()))
+
+
+def test_trailing_means_come_from_daily_sums_that_follow_the_labels(spark, place):
+    raw, lake, refresh = place
+    for day in (5, 6, 7):
+        for stop in range(1, 5):
+            stop_snapshot(raw, day, 0, stop, delay=10 * day)
+    refresh()
+    assert sums_now(spark, lake) == sums_anew(spark, lake) != []
+    kept = {str(p) for p in Path(lake.path("gold", dataflow.DAILY)).rglob("service_date=2026-10-05/*.parquet")}
+    stop_snapshot(raw, 6, 0, 4, delay=100)  # news for one day
+    stop_snapshot(raw, 8, 0, 1)
+    refresh()
+    assert sums_now(spark, lake) == sums_anew(spark, lake)
+    assert kept == {str(p) for p in Path(lake.path("gold", dataflow.DAILY)).rglob("service_date=2026-10-05/*.parquet")}
+    dataflow.build_training_set(spark, lake, "2026-10-07", settings=SETTINGS)
+    stored = means_of(spark, lake)
+    assert stored and all("2026, 10, 7" in row or "2026, 10, 8" in row for row in stored)
+    assert not all("hist_n=0" in row for row in stored)
+    # without the table, the same means come from the outcomes
+    sinks_remove(spark, lake.path("gold", dataflow.DAILY))
+    dataflow.build_training_set(spark, lake, "2026-10-07", settings=SETTINGS)
+    assert means_of(spark, lake) == stored
+    stop_snapshot(raw, 8, 0, 2)
+    refresh()  # a lake without the table gets it for all days
+    assert sums_now(spark, lake) == sums_anew(spark, lake)
+
+
+def test_daily_sums_left_half_written_are_made_anew(spark, place):
+    raw, lake, refresh = place
+    for day in (5, 6):
+        stop_snapshot(raw, day, 0, 1)
+    refresh()
+    sinks_remove(spark, lake.path("gold", f"{dataflow.DAILY}/_SUCCESS"))
+    sinks_remove(spark, lake.path("gold", f"{dataflow.DAILY}/service_date=2026-10-05"))
+    assert dataflow.stored_daily_delays(spark, lake) is None
+    stop_snapshot(raw, 6, 0, 2)
+    refresh()
+    assert sums_now(spark, lake) == sums_anew(spark, lake)
