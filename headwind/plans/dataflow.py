@@ -278,17 +278,18 @@ def train(
 ) -> TrainingRun:
     """Baselines and candidates on a time split; results appended, best test predictions kept.
 
-    Only a run on full data makes its model the champion.
+    The model is chosen on blocks of days before the held-out window (`gold/model_blocks`). Only a run on full data makes its model the champion.
     """
     table = lake.read(spark, "gold", "training_set")
     start, end = day_bounds(table, first, last)
     data = fill_features(between_days(table, start, end), settings)
     fit_on, test, split = time_split(data, start, end, settings)
     run_id = uuid.uuid4().hex
-    chosen = select_model(fit_on, test, pipelines)
+    chosen = select_model(fit_on, test, pipelines, split=split, settings=settings)
     lake.append(result_rows(chosen.metrics, run_id, split), "gold", "model_results")
     if chosen.model is None:
         return TrainingRun(run_id, split, None, False)
+    lake.append(chosen.blocks.select(F.lit(run_id).alias("run_id"), "*"), "gold", "model_blocks")
     lake.overwrite(test_prediction_rows(chosen.scored, run_id), "gold", "test_predictions")
     champion = register_model(spark, lake, chosen.model, chosen.name, run_id, split)
     return TrainingRun(run_id, split, chosen.name, champion)

@@ -22,6 +22,7 @@ from headwind.operators import (
     labels,
     models,
     quality,
+    ridge,
     schedule,
     scoring,
     sliced,
@@ -543,7 +544,7 @@ def feature_vector(v: Views) -> DataFrame:
 
 def _fitted(v: Views, pipeline) -> DataFrame:
     train, test, _ = _split(v)
-    scored = models.predict_delay(pipeline.fit(train), test, "model_pred_s")
+    scored = models.predict_delay(models.fit(pipeline, train), test, "model_pred_s")
     return scored.select(*_example_key(), r6("model_pred_s"), "target_delay_s")
 
 
@@ -552,6 +553,38 @@ def train_linear(v: Views) -> DataFrame:
     return _fitted(v, models.linear_pipeline())
 
 
+@staged
+def ridge_moments(v: Views) -> DataFrame:
+    """Sums of products of inputs and label of the training rows, by mode and route.
+
+    Means go in as whole seconds, so that sums do not depend on the order of rows.
+    """
+    train, _, _ = _split(v)
+    train = train.withColumn("hist_avg_delay_s", F.floor("hist_avg_delay_s"))
+    return ridge.moment_sums(train).select("mode", "route_id", "left", "right", "total")
+
+
+@staged
+def ridge_exact(v: Views) -> DataFrame:
+    """Each coefficient of the exact solution, and whether the registered linear fit has the same."""
+    train, _, _ = _split(v)
+    pipeline = models.linear_pipeline()
+    fitted = ridge.coefficients_of(models.fit(pipeline, train))
+    exact = ridge.solve(ridge.moment_sums(train), pipeline.getStages()[-1].getRegParam())
+    rows = [(k, abs(exact[k] - fitted.get(k, float("nan"))) <= 1e-3 * max(1.0, abs(exact[k]))) for k in exact]
+    return v.spark.createDataFrame(rows, "coefficient string, agrees boolean")
+
+
+@staged
+def selection_blocks(v: Views) -> DataFrame:
+    """Errors of the baselines on each block of days that candidate models are compared on."""
+    train, _, split = _split(v)
+    train = materialize(train, "train")
+    blocks = [models.block_metrics(train, models.BASELINES, b) for b in evaluate.rolling_blocks(split, SETTINGS)]
+    found = reduce(DataFrame.unionByName, blocks)
+    return found.select("first", "last", "mode", bigint("horizon"), "n", r6("mae_s"), r6("rmse_s"), "predictor")
+
+
 @staged
 def train_gbt(v: Views) -> DataFrame:
     return _fitted(v, models.tree_pipeline())
@@ -560,14 +593,14 @@ def train_gbt(v: Views) -> DataFrame:
 @staged
 def model_selection(v: Views) -> DataFrame:
     train, test, split = _split(v)
-    chosen = models.select_model(train, test, models.candidates())
+    chosen = models.select_model(train, test, models.candidates(), split=split, settings=SETTINGS)
     return evaluate.result_rows(chosen.metrics, chosen.name or "baselines", split).drop("processed_ts")
 
 
 @staged
 def test_predictions(v: Views) -> DataFrame:
-    train, test, _ = _split(v)
-    chosen = models.select_model(train, test, models.candidates())
+    train, test, split = _split(v)
+    chosen = models.select_model(train, test, models.candidates(), split=split, settings=SETTINGS)
     lake = sinks.Lake(new_folder(v.spark, "predictions"))
     lake.overwrite(models.test_prediction_rows(chosen.scored, "run"), "gold", "test_predictions")
     return lake.read(v.spark, "gold", "test_predictions")

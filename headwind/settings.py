@@ -42,6 +42,9 @@ class Settings:
     # evaluation
     test_days: int = 7
     min_days: int = 21
+    # blocks before the held-out window on which candidate models are compared, and their days
+    selection_blocks: int = 2
+    selection_days: int = 5
     # live serving
     live_anchor_max_age_s: int = 1800
     live_vehicle_max_age_s: int = 900
