@@ -45,6 +45,8 @@ class Settings:
     # blocks before the held-out window on which candidate models are compared, and their days
     selection_blocks: int = 2
     selection_days: int = 5
+    # model fits that run side by side; many small jobs each, which leave executors waiting
+    fits_at_once: int = 4
     # live serving
     live_anchor_max_age_s: int = 1800
     live_vehicle_max_age_s: int = 900
