@@ -168,3 +168,18 @@ def test_pieces_of_a_hot_slice_are_even(spark):
     assert sum(sizes) == 20_000 and len(sizes) >= 15
     assert sizes[-1] <= 1.75 * sizes[len(sizes) // 2]
     assert sliced._cut(df.limit(0), ["key"], sliced.time_slice(F.col("ts"), 3600), order, 1000, None).count() == 0
+
+
+def test_a_row_meets_few_borders_however_many_pieces_there_are(spark):
+    """800 pieces of one slice: each table of borders is short for any one piece, and no row is misplaced."""
+    df = spark.range(40_000).select(F.lit("hot").alias("key"), (F.col("id") * 7919 % 40_000).alias("place"))
+    met = []
+
+    def stage(rows):
+        if "__borders" in rows.columns:
+            met.append(rows.agg(F.max(F.size("__borders"))).first()[0])
+        return rows
+
+    got = sliced.numbered(df, ["key"], [F.col("place")], F.lit(0), "n", rows=50, stage=stage)
+    assert got.where("n <> place + 1").isEmpty() and got.count() == 40_000
+    assert max(m or 0 for m in met) <= 3 * sliced._FANOUT
