@@ -11,6 +11,7 @@ from headwind.operators.schedule import (
     schedule_of,
     with_schedule_delay,
 )
+from headwind.plans.reports import delay_distribution, label_quality
 from headwind.sources.records import record_schema
 
 DAY = date(2026, 10, 6)
@@ -175,3 +176,17 @@ def test_sketches_merge_to_quantiles_of_any_level(spark):
         for r in delay_quantiles(hourly, by, {"q1": 0.25, "q2": 0.5}).collect():
             assert abs(r.q1 - 5000) < 700 and abs(r.q2 - 10_000) < 700
     assert delay_quantiles(hourly.limit(0), ["route_id"], {"q": 0.5}).count() == 0
+
+
+def test_percentiles_of_many_rows_are_exact(spark):
+    n = 60_000
+    rows = spark.range(n).select(
+        F.lit("bus").alias("mode"),
+        (F.col("id") * 7919 % n).alias("delay_s"),
+        (F.col("id") * 7919 % n).alias("label_lead_s"),
+        F.lit(DAY).alias("service_date"),
+        F.lit(True).alias("is_observed"),
+    )
+    row = delay_distribution(rows).first()
+    assert [row[f"p{q}_s"] for q in ("05", "25", "50", "75", "95")] == [2_999, 14_999, 29_999, 44_999, 56_999]
+    assert label_quality(rows).first().median_lead_s == 29_999
