@@ -183,3 +183,12 @@ def test_a_row_meets_few_borders_however_many_pieces_there_are(spark):
     got = sliced.numbered(df, ["key"], [F.col("place")], F.lit(0), "n", rows=50, stage=stage)
     assert got.where("n <> place + 1").isEmpty() and got.count() == 40_000
     assert max(m or 0 for m in met) <= 3 * sliced._FANOUT
+
+
+def test_facts_that_nobody_asks_for_are_dropped_before_they_are_ordered(spark):
+    facts = spark.range(4000).select((F.col("id") % 1000).alias("k"), F.timestamp_seconds("id").alias("rt"), F.col("id").alias("v"))
+    asks = spark.range(5).select(F.col("id").alias("k"), F.timestamp_seconds(F.lit(2500)).alias("t"))
+    plain = asof_backward(asks, facts, [("k", "k")], "t", "rt", {"v": "v"}, False)
+    out = asof_backward(asks, facts, [("k", "k")], "t", "rt", {"v": "v"}, False, sparse=True)
+    assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(out.collect()) == sorted(plain.collect()) == [(k, datetime.fromtimestamp(2500), 2000 + k) for k in range(5)]
