@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from google.protobuf import json_format
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +45,8 @@ def encode_snapshots(entities: DataFrame, feed: str) -> DataFrame:
                 texts = list(group["e"])
                 for start in range(0, len(texts), ENTITIES_PER_FILE):
                     chunk = [json.loads(t) for t in texts[start : start + ENTITIES_PER_FILE]]
-                    message = json_format.ParseDict({"header": header, "entity": chunk}, message_class())
+                    # names, numbers, lists and enum labels as the message's own constructor takes them
+                    message = message_class(header=header, entity=chunk)
                     path = f"{folder}/part={task}-{n}/{feed}_{int(header_s)}.pb"
                     files.append((path, message.SerializeToString(deterministic=True)))
                     n += 1
@@ -60,17 +61,18 @@ def write_snapshots(files: DataFrame, root: str) -> int:
     `files` should come from a table, so that a repeated task writes the same files again.
     """
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         local = root.removeprefix("file:")
         store, base = fs.FileSystem.from_uri(root) if "://" in local else (fs.LocalFileSystem(), local)
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                target = f"{base}/{path}"
+            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+                target = f"{base}/{path.as_py()}"
                 store.create_dir(target.rsplit("/", 1)[0], recursive=True)
                 with store.open_output_stream(target) as out:
-                    out.write(content)
-            yield batch[["path"]]
+                    # a view into the batch; contents are not copied
+                    out.write(content.as_buffer())
+            yield batch.select(["path"])
 
-    return files.mapInPandas(write, "path string").count()
+    return files.select("path", "content").mapInArrow(write, "path string").count()

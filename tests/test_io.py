@@ -2,6 +2,7 @@
 
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from headwind.operators import clean, coverage
@@ -247,3 +248,25 @@ def test_explode_drops_trips_without_stops_and_outer_keeps_parents(spark, tmp_pa
     rows = snapshots.bronze_records(files, "trip_updates")
     assert [r.trip_id for r in clean.stop_updates_of(rows).collect()] == ["t2", "t2"]
     assert rows.select(F.explode_outer("stop_time_updates")).count() == 3
+
+
+@pytest.mark.parametrize("feed", ["trip_updates", "vehicle_positions", "alerts"])
+def test_messages_are_those_of_the_json_reader(spark, feed):
+    """The encoder leaves Python's slow JSON reader out and still writes the same bytes."""
+    import json
+
+    from google.protobuf import json_format
+
+    from headwind.plans.views import Views
+    from headwind.sources import snapshot_writer
+
+    assert not hasattr(snapshot_writer, "json_format")
+    entities = Views(spark, "/root/testdata/sf0.001").entities(feed).withColumn("header_s", F.lit(17).cast("long")).coalesce(1)
+    files = snapshot_writer.encode_snapshots(entities, feed).collect()
+    texts = entities.orderBy("e.id").select(F.to_json("e").alias("t")).collect()
+    message = feedspec.feed_message()
+    header = {"gtfs_realtime_version": "2.0", "timestamp": 17}
+    want = json_format.ParseDict({"header": header, "entity": [json.loads(r.t) for r in texts]}, message())
+    got = sorted((e for f in files for e in message.FromString(f.content).entity), key=lambda e: e.id)
+    assert got == sorted(want.entity, key=lambda e: e.id) and len(got) == len(texts) > 0
+    assert {message.FromString(f.content).header.timestamp for f in files} == {17}
