@@ -7,13 +7,15 @@ the normal equations need, for any penalty and any set of inputs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations_with_replacement
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from headwind.operators.models import CATEGORICAL, CHANGE, NUMERIC
 
@@ -25,14 +27,39 @@ def moment_sums(
 ) -> DataFrame:
     """Rows (*by, left, right, total): the sum of left * right, each pair once; `one` is always 1.
 
-    The sums of a combination of categories are one row of the aggregation, combined before the
-    shuffle. Rows have to be complete (`models.scorable`); a missing category is one of its own.
+    Each task multiplies its rows batch by batch and hands on its sums for each combination of categories;
+    these few rows are added up. Rows have to be complete (`models.scorable`); a missing category is one
+    of its own.
     """
-    values = {ONE: F.lit(1.0), **{c: F.col(c).cast("double") for c in (*inputs, label)}}
-    pairs = list(combinations_with_replacement(values, 2))
-    sums = df.groupBy(*by).agg(*[F.sum(values[a] * values[b]).alias(f"s{i}") for i, (a, b) in enumerate(pairs)])
-    rows = [F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(f"s{i}").alias("total")) for i, (a, b) in enumerate(pairs)]
-    return sums.select(*by, F.inline(F.array(*rows)))
+    names = (ONE, *inputs, label)
+    pairs = list(combinations_with_replacement(range(len(names)), 2))
+    left, right = ([p[i] for p in pairs] for i in (0, 1))
+    rows = df.select(*by, F.lit(1.0).alias(ONE), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in names[1:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            values = np.column_stack([batch.column(c).to_numpy() for c in names])
+            group = np.zeros(batch.num_rows, dtype=np.int64)
+            for c in by:
+                codes = batch.column(c).dictionary_encode("encode")
+                group = group * len(codes.dictionary) + codes.indices.to_numpy()
+            for g in np.unique(group):
+                at = np.flatnonzero(group == g)
+                key = tuple(batch.column(c)[int(at[0])].as_py() for c in by)
+                # not a matrix product of numpy: its own threads would compete with the other tasks
+                found[key] = found.get(key, 0.0) + np.einsum("ni,nj->ij", values[at], values[at])
+        if not found:
+            return
+        columns = [pa.array([k[i] for k in found], batch.schema.field(c).type) for i, c in enumerate(by)]
+        totals = pa.array([m[left, right].tolist() for m in found.values()], pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([*columns, totals], names=[*by, "totals"])
+
+    fields = [T.StructField(c, df.schema[c].dataType) for c in by]
+    sums = rows.mapInArrow(run, T.StructType([*fields, T.StructField("totals", T.ArrayType(T.DoubleType()))]))
+    named = F.array(*[F.struct(F.lit(names[a]).alias("left"), F.lit(names[b]).alias("right")) for a, b in pairs])
+    pair = F.inline(F.arrays_zip(named.alias("named"), F.col("totals").alias("part")))
+    return sums.select(*by, pair).select(*by, "named.*", "part").groupBy(*by, "left", "right").agg(F.sum("part").alias("total"))
 
 
 def solve(
