@@ -9,6 +9,7 @@ import pytest
 
 from headwind.llm import mixing, multiset, neardup, packing, quality, rules, secrets, suffix_tree, toxicity, urls
 from headwind.llm.texts import tokenizer_path
+from headwind.session import materialize
 
 DOCS = "doc_id long, text string, source string, score double, n_words long, key string"
 LABELS = "doc_id long, quality int, toxic int"
@@ -297,6 +298,23 @@ def test_tree_equals_brute_force(spark):
         assert abs(got[i]["score"] - sum(np.log10(p(tuple(t[max(0, j - len(levels)) : j]), w)) for j, w in enumerate(t))) < 1e-6
 
 
+def test_tree_grown_in_rounds_equals_one_length_after_another(spark, monkeypatch):
+    """Words that depend on a word up to 14 words before; the passes over the texts stay few."""
+    texts = []
+    for far in range(1, 15):
+        for k in range(28):
+            texts.append(" ".join([f"start{far}_{k % 2}", *(f"m{far}_{i}" for i in range(far)), f"out{far}_{k % 2}"]))
+    docs, written = frame(spark, texts * 2), []
+    monkeypatch.setattr(suffix_tree, "materialize", lambda *a, **k: written.append(1) or materialize(*a, **k))
+    got = {}
+    for few in (-1.0, 1.0):
+        monkeypatch.setattr(suffix_tree, "_FEW", few)
+        written.clear()
+        got[few] = {r["doc_id"]: r["score"] for r in suffix_tree.score(docs).collect()}
+    assert len(written) < 25
+    assert got[1.0].keys() == got[-1.0].keys() and all(abs(got[1.0][i] - x) < 1e-9 for i, x in got[-1.0].items())
+
+
 def test_segments_equal_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(30):
